@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, isomedia, sharding, simhash
+from . import bpe, decontaminate, isomedia, linededup, sharding, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -70,3 +70,24 @@ def op5_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op6_iso_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return isomedia.round_trip(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.removed_units(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages")).drop("target_uri")
+
+
+ORACLE_SQL["op9_warc"] = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+q AS (SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes, sha256(payload) AS payload_digest FROM p),
+r AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_page FROM q)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first_page THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first_page THEN first_page END AS refers_to
+FROM r
+"""

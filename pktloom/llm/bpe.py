@@ -23,6 +23,7 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -31,9 +32,11 @@ from pyspark.sql import functions as F
 from .common import slices, text_batches
 
 #: Bytes that are merged directly.
-LEAF = 8
+LEAF = 16
 #: Entries that a worker remembers of each kind before it starts anew.
-REMEMBERED = 200_000
+REMEMBERED = 150_000
+#: The rank of a pair that is no token.
+NONE = 1 << 62
 #: Matches that are held at once.
 MATCHES = 1 << 16
 
@@ -47,21 +50,26 @@ class Bpe:
         self.split = regex.compile(pattern)
         self._pairs: dict[tuple[int, int], bool] = {}
         self._known = _Known(self)
-        self._unpacked = {struct.pack("<I", i): b for b, i in ranks.items()}
 
     def merged(self, piece: bytes) -> list[int]:
         """The encoding by direct merging, lowest rank first and leftmost among equals."""
-        parts, ranks = [piece[i : i + 1] for i in range(len(piece))], self.ranks
-        while len(parts) > 1:
-            least, at = None, -1
-            for i in range(len(parts) - 1):
-                r = ranks.get(parts[i] + parts[i + 1])
-                if r is not None and (least is None or r < least):
-                    least, at = r, i
-            if least is None:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return [ranks[p] for p in parts]
+        if not piece:
+            return []
+        get = self.ranks.get
+        parts = [piece[i : i + 1] for i in range(len(piece))]
+        next_rank = [get(piece[i : i + 2], NONE) for i in range(len(piece) - 1)]
+        next_rank.append(NONE)
+        while (least := min(next_rank)) != NONE:
+            i = next_rank.index(least)
+            both = parts[i] = parts[i] + parts.pop(i + 1)
+            del next_rank[i]
+            if i + 1 < len(parts):
+                next_rank[i] = get(both + parts[i + 1], NONE)
+            else:
+                next_rank[i] = NONE
+            if i:
+                next_rank[i - 1] = get(parts[i - 1] + both, NONE)
+        return list(map(self.ranks.__getitem__, parts))
 
     def stable(self, a: int, b: int) -> bool:
         """Whether two tokens are the encoding of their own bytes."""
@@ -116,27 +124,34 @@ class Bpe:
         return [i for part in self.packed(text) for (i,) in struct.iter_unpack("<I", part)]
 
     def decoded(self, packed: bytes) -> bytes:
-        of = self._unpacked
-        return b"".join([of[packed[i : i + 4]] for i in range(0, len(packed), 4)])
+        return self.decode(np.frombuffer(packed, "<u4").tolist())
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
 class _Known(dict):
-    """Packed encodings of matches; those that are missing are made."""
+    """Packed encodings of matches; those that are missing are made.
+
+    When it is full, what it holds becomes the older half, from which matches that are met again return.
+    """
 
     def __init__(self, bpe: Bpe):
         super().__init__()
         self.bpe = bpe
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
+        found = self.older.get(piece)
+        if found is None:
+            ids = self.bpe.match(piece.encode("utf-8", "replace"))
+            found = struct.pack(f"<{len(ids)}I", *ids)
+            if len(piece) > 64:
+                return found
         if len(self) >= REMEMBERED:
+            self.older = dict(self)
             self.clear()
-        ids = self.bpe.match(piece.encode("utf-8", "replace"))
-        found = struct.pack(f"<{len(ids)}I", *ids)
-        if len(piece) <= 64:
-            self[piece] = found
+        self[piece] = found
         return found
 
 

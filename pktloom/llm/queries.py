@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, isomedia, linededup, sharding, simhash, warc
+from . import bpe, decontaminate, htmlcut, isomedia, linededup, sharding, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -91,3 +91,8 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= 100 AND page_id <> first_page THEN first_page END AS refers_to
 FROM r
 """
+
+
+@_query
+def op10_html_mincut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmlcut.extract(_table(spark, sf_dir, "pages"))

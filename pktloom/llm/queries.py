@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, htmlcut, isomedia, linededup, sharding, simhash, warc
+from . import bpe, decontaminate, htmlcut, isomedia, linededup, pii, sharding, simhash, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -96,3 +96,13 @@ FROM r
 @_query
 def op10_html_mincut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmlcut.extract(_table(spark, sf_dir, "pages"))
+
+
+@_query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@_query
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(_table(spark, sf_dir, "documents"))

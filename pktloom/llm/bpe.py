@@ -178,45 +178,36 @@ def _over(docs: DataFrame, vocabulary: str, pattern: str):
     return lambda: _bpe(data.value, pattern)
 
 
-def encode_column(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids array<int>): the encoding of every whole text; a null text is empty."""
-    bpe = _over(docs, vocabulary, pattern)
-
-    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = bpe()
-        for b in slices(batches):
-            ids = [coder.encode(t or "") for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
-
-    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(scan, "doc_id bigint, ids array<int>")
-
-
-def round_trip(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) for each row: every whole text encoded, and its ids decoded.
+def round_trip(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256[, ids]) for each row: every whole text encoded, and its ids decoded.
 
     A null text is an empty one, without tokens. Repeated rows give repeated rows; other
     columns are not read; an empty table gives an empty one. The digests follow the parts of a long
-    text, so its ids are never held at once. Work is in proportion to the text, and nothing is shuffled.
+    text. Work is in proportion to the text, and nothing is shuffled.
     """
     bpe = _over(docs, vocabulary, pattern)
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = bpe()
         for b in slices(batches):
-            counts, ids, texts = [], [], []
+            counts, ids, texts, held = [], [], [], []
             for text in b.column(1).to_pylist():
                 n, of_ids, of_text = 0, hashlib.sha256(), hashlib.sha256()
                 for part in coder.packed(text or ""):
                     n += len(part) // 4
                     of_ids.update(part)
                     of_text.update(coder.decoded(part))
+                    if with_ids:
+                        held.append(part)
                 counts.append(n)
                 ids.append(of_ids.hexdigest())
                 texts.append(of_text.hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+            made = [b.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())]
+            if with_ids:
+                ends = pa.array([0, *np.cumsum(counts, dtype=np.int32).tolist()], pa.int32())
+                made.append(pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(held), "<i4"))))
+            yield pa.RecordBatch.from_arrays(made, names=names)
 
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids]
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(scan, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return rows.mapInArrow(scan, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)

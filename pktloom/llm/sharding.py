@@ -23,12 +23,13 @@ def shard_of(keys: Sequence[Column | str], weights: Sequence[float]) -> Column:
     """
     if not weights or any(w < 0 for w in weights) or not any(weights):
         raise ValueError("weights must not be negative, and one must be positive")
-    draws = []
-    for s, w in enumerate(weights):
-        if w:
-            u = (F.shiftrightunsigned(F.xxhash64(*keys, F.lit(s)), 11) + F.lit(0.5)) * F.lit(2.0**-53)
-            draws.append(F.struct((-F.log(u) / F.lit(float(w))).alias("d"), F.lit(s).alias("s")))
-    return (F.least(*draws) if len(draws) > 1 else draws[0]).getField("s")
+    shards = F.array(*[F.struct(F.lit(s).alias("s"), F.lit(float(w)).alias("w")) for s, w in enumerate(weights) if w])
+
+    def draw(shard: Column) -> Column:
+        u = (F.shiftrightunsigned(F.xxhash64(*keys, shard["s"]), 11) + F.lit(0.5)) * F.lit(2.0**-53)
+        return F.struct((-F.log(u) / shard["w"]).alias("d"), shard["s"].alias("s"))
+
+    return F.array_min(F.transform(shards, draw)).getField("s")
 
 
 def assign(df: DataFrame, keys: Sequence[str], weights: Sequence[float], name: str = "shard") -> DataFrame:

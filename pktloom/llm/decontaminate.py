@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -45,25 +46,27 @@ class WindowSet:
         self.hashes = {}
         for n in {len(w) for w in self.items}:
             rows = np.array([w for w in self.items if len(w) == n], np.int64)
-            self.hashes[n] = np.unique(self._rolled(rows.ravel(), n)[::n])
-
-    @staticmethod
-    def _rolled(ids: np.ndarray, n: int) -> np.ndarray:
-        """The hash of each run of n ids."""
-        x, out = ids.astype(np.uint64) + np.uint64(1), np.zeros(len(ids) - n + 1, np.uint64)
-        for k in range(n):
-            out = out * np.uint64(_P) + x[k : len(x) - n + 1 + k]
-        return out
+            rolled = np.zeros(len(rows), np.uint64)
+            for k in range(n):
+                rolled = rolled * np.uint64(_P) + (rows[:, k].astype(np.uint64) + np.uint64(1))
+            self.hashes[n] = np.unique(rolled)
 
     def scan(self, found: list[bytes]) -> tuple[np.ndarray, set[int]]:
         """Which words are inside an occurrence of a window, and the items that have one."""
         hit, items = np.zeros(len(found), bool), set()
-        ids = np.fromiter((self.ids.get(w, -1) for w in found), np.int64, len(found))
+        ids = np.fromiter(map(self.ids.get, found, repeat(-1)), np.int64, len(found))
+        known = np.concatenate(([0], np.cumsum(ids >= 0)))
         for n, hashes in self.hashes.items():
             if len(ids) < n:
                 continue
-            at = np.flatnonzero(np.isin(self._rolled(ids, n), hashes))
-            for i in at.tolist():
+            at = np.flatnonzero(known[n:] - known[:-n] == n)  # the others have words that no item has
+            if not len(at):
+                continue
+            rolled = np.zeros(len(at), np.uint64)
+            for k in range(n):
+                rolled = rolled * np.uint64(_P) + (ids[at + k].astype(np.uint64) + np.uint64(1))
+            place = np.minimum(np.searchsorted(hashes, rolled), len(hashes) - 1)
+            for i in at[hashes[place] == rolled].tolist():
                 of = self.items.get(tuple(ids[i : i + n].tolist()))
                 if of:
                     hit[i : i + n] = True

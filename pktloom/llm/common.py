@@ -1,60 +1,23 @@
-"""Helpers shared by the training-data operators: shared storage, small Arrow batches, sorted groups."""
+"""Helpers shared by the training-data operators: small Arrow batches, sorted groups, and the shared folder."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
+
+from ..storage import dropped, few_files, new_path, shared_dir, written
+
+__all__ = ["dropped", "few_files", "new_path", "shared_dir", "slices", "sorted_groups", "text_batches", "utf8", "written"]
 
 #: Rows of an Arrow batch that holds whole texts.
 TEXT_ROWS = 500
-#: Bytes of text that are turned into Python objects at once.
+#: Rows that are turned into Python objects at once.
 SLICE_ROWS = 64
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (spark.checkpoint.dir).
-
-    Where it is unset a temporary folder is used, which only a local master may do.
-    """
-    sc = spark.sparkContext
-    found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not found:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        if sc.master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir")
-        found = tempfile.mkdtemp(prefix="shared-")
-        sc.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The frame as a Parquet table in the shared folder: lineage is cut and survives lost executors."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.stored_at = path
-    return out
-
-
-def dropped(df: DataFrame) -> None:
-    """Delete a table made by written() that nothing reads any more."""
-    spark, path = df.sparkSession, getattr(df, "stored_at", None)
-    if path:
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def text_batches(spark: SparkSession) -> None:
     """Whole texts travel to Python in batches of few rows, so that a batch of long ones fits a worker."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > TEXT_ROWS:

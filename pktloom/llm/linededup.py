@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import slices, text_batches, written
+from .common import few_files, slices, text_batches, written
 
 MIN_WORDS = 20
 #: Words of a sentence below which it belongs to its neighbour in the line.
@@ -132,7 +132,7 @@ def removed_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Null, empty and blank texts have no units. Of repeated rows the first keeps its text and the others lose theirs.
     A null doc_id ranks last. Ties of rank are rows with equal ids, which their order in the table decides.
     """
-    return _removed(_numbered(docs), id_col, text_col, unit, min_words).drop("row_id")
+    return few_files(_removed(_numbered(docs), id_col, text_col, unit, min_words).drop("row_id"))
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: str = "sentence", min_words: int = MIN_WORDS) -> DataFrame:

@@ -224,3 +224,25 @@ def rule_time_ns(text: Column, offset_hours: int = 0) -> Column:
     """Nanoseconds of a naive UTC time of minute or second resolution, shifted by hours; null for other texts."""
     at = F.coalesce(F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss")), F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm")))
     return (F.unix_micros(at) + offset_hours * 3_600_000_000) * 1000
+
+
+def fixed6(x: Column) -> Column:
+    """A number with six decimals, rounded from its exact binary value, ties to even.
+
+    The JVM's own formatting rounds the shortest decimal that reads back as the number, which differs where that ends in a five. Here
+    x * 10^6 is a product p and its exact error. From 9e9 on, where a double has few decimals left, the JVM formats.
+    """
+    million, splitter = F.lit(1e6), F.lit(134217729.0)
+
+    def of(a: Column) -> Column:
+        high = a * splitter - (a * splitter - a)
+        p = a * million
+        error = (high * million - p) + (a - high) * million
+        below = F.floor(p)
+        rest = (p - below) + error
+        up = (rest > 0.5) | ((rest == 0.5) & (below % 2 == 1))
+        n = below + F.when(up, 1).otherwise(0)
+        return F.concat(F.call_function("div", n, F.lit(1_000_000)).cast("string"), F.lit("."), F.lpad((n % 1_000_000).cast("string"), 6, "0"))
+
+    size = F.abs(x)
+    return F.when(size < 9e9, F.concat(F.when(x < 0, "-").otherwise(""), let(size, of))).otherwise(F.format_string("%.6f", x))

@@ -103,4 +103,5 @@ def with_context(segments: DataFrame, packets: DataFrame, duration_ns: int = DUR
     service = service_state(b, packets, limit).select("start_idx", state.alias("service"))
     edge = edge_state(b, packets, limit).select("start_idx", state.alias("edge"))
     graph = graph_top(b, packets, limit).groupBy("start_idx").agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", state.alias("s")))), lambda x: x["s"]).alias("graph"))
+    ends, service, edge, graph = (written(t, "context") for t in (ends, service, edge, graph))
     return b.drop("lo", "hi").join(ends, "start_idx").join(service, "start_idx").join(edge, "start_idx").join(graph, "start_idx", "left")

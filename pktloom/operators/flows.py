@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import fixed6
 from ..schema import KEY
 
 GAP_NS = 120_000_000_000
@@ -77,7 +78,7 @@ def csv_rows(features: DataFrame) -> DataFrame:
     ts = F.col("start_ts")
     odd = (ts < 0) & (F.pmod(ts, F.lit(1_000_000_000)) != 0)
     at = F.when(odd, F.lit(0)).otherwise(F.floor(ts / 1_000_000_000).cast("bigint"))
-    f6 = lambda c: F.format_string("%.6f", c).alias(c)
+    f6 = lambda c: fixed6(F.col(c)).alias(c)
     return features.select(
         "src_ip", "src_port", "dst_ip", "dst_port", "protocol", F.date_format(F.timestamp_seconds(at), "MM/dd/yyyy HH:mm:ss").alias("timestamp"),
         *map(f6, ["byteps", "pps", "duration", "pkt_len_mean", "pkt_len_std", "iat_mean", "iat_std"]), "fwd_pkts", "bwd_pkts", f6("fwd_segment_size"), f6("bwd_segment_size"),

@@ -14,6 +14,7 @@ from ..operators import context, decode, flows, merge, rules, segments, stats, t
 from ..operators.ordering import row_numbers
 from ..sources import capture, sinks, text
 from ..sources.config import Config, load_config, load_stats_config
+from ..storage import dropped, written
 
 log = logging.getLogger(__name__)
 
@@ -33,7 +34,7 @@ def compacted(spark: SparkSession, folder: str) -> DataFrame:
 def stream(frames: DataFrame) -> DataFrame:
     """Frames as a stream to merge: in order (idx), with the key that sampling goes by."""
     keyed = decode.lax_flow_key(frames)
-    return capture.ordered(keyed).drop("file_ord", "frame_no")
+    return written(capture.ordered(keyed).drop("file_ord", "frame_no"), "stream")
 
 
 def merged(attack: DataFrame, benign: DataFrame, rate: float, environment: dict | None = None, seed: int = 0) -> DataFrame:
@@ -54,17 +55,17 @@ def dataset_rows(rows: DataFrame) -> DataFrame:
 
 def scenario(attack: DataFrame, benign: DataFrame, prefix: str, rate: float, mixed: bool, environment: dict | None = None) -> dict:
     """One dataset: prefix.data, prefix.label, prefix.csv and, if wanted, captures under prefix_mixed; returns packet and row counts."""
-    rows = merged(attack, benign, rate, environment).persist()
-    try:
-        total = rows.count()
-        if mixed and total:
-            capture.write_capture(decode.wrap_ethernet(rows), f"{prefix}_mixed", "seq")
-        data = dataset_rows(rows)
-        text.write_data(data, prefix)
-        sinks.write_flow_csv(flows.flow_features(flows.sessionize(data, batch=flows.BATCH_LINES)), f"{prefix}.csv")
-        return {"packets": total, "rows": data.count()}
-    finally:
-        rows.unpersist()
+    rows = written(merged(attack, benign, rate, environment), "merged")
+    total = rows.count()
+    if mixed and total:
+        capture.write_capture(decode.wrap_ethernet(rows), f"{prefix}_mixed", "seq")
+    data = written(dataset_rows(rows), "dataset")
+    text.write_data(data, prefix)
+    sinks.write_flow_csv(flows.flow_features(flows.sessionize(data, batch=flows.BATCH_LINES)), f"{prefix}.csv")
+    found = {"packets": total, "rows": data.count()}
+    dropped(rows)
+    dropped(data)
+    return found
 
 
 def benign_source(spark: SparkSession, config: Config) -> DataFrame:
@@ -158,6 +159,7 @@ def dataset_statistics(spark: SparkSession, config_path: str, output: str) -> li
 
 def _cache(spark: SparkSession, packets: DataFrame, segs: DataFrame, out_dir: str, window_s: int, limit: int, shard_flows: int, digits: int, **encoding) -> list[dict]:
     sinks.emptied(out_dir)
+    segs = written(segs, "segments")
     contexted = context.with_context(segs, packets, window_s * 1_000_000_000, limit)
     label = segs.select("start_idx", "label") if "label" in segs.columns else None
     contexted = contexted if label is None or "label" in contexted.columns else contexted.join(label, "start_idx")
@@ -183,7 +185,7 @@ def _totals(shards: list[dict]) -> dict[str, int]:
 def pretrain_cache(spark: SparkSession, data: str, out_dir: str, source_name: str = "", source_id: int = 0, packet_cutoff: int = 20, flow_timeout_s: int = 60, window_duration_s: int = 300, window_packet_limit: int = 2000, shard_flows: int = 50000, max_packets: int = 0, max_flows: int = 0, timeout_check_interval: int = 256, graph_token_count: int = 5, timestamp_unit: str = "ns", field7_mode: str = "protocol") -> dict:
     """Token shards of benign traffic and their metadata."""
     segments.validate(packet_cutoff, flow_timeout_s * 1_000_000_000, timeout_check_interval, graph_token_count)
-    packets = text.read_data(spark, data, None, "pretrain", timestamp_unit, field7_mode).persist()
+    packets = written(text.read_data(spark, data, None, "pretrain", timestamp_unit, field7_mode), "packets")
     segs = segments.segments(packets, "pretrain", packet_cutoff, flow_timeout_s * 1_000_000_000, timeout_check_interval, max_packets=max_packets, max_flows=max_flows)
     shards = _cache(spark, packets, segs, out_dir, window_duration_s, window_packet_limit, shard_flows, 6, source_id=source_id)
     total = packets.count() if not max_packets else min(max_packets, packets.count())
@@ -202,7 +204,7 @@ def pretrain_cache(spark: SparkSession, data: str, out_dir: str, source_name: st
         "label_policy": "segment_max", "segment_label_policy": "segment_max", "sampling_unit": "detection_event_segment", "cache_builder": "pktloom_pretrain_cache",
         "metadata_fields": ["flow_key_hashes", "cutoff_timestamp_ns", "segment_labels", "prefix_lens", "protocols", "dst_ports", "length_buckets", "service_buckets", "source_ids"],
     }
-    packets.unpersist()
+    dropped(packets)
     sinks.write_metadata(out_dir, metadata)
     return metadata
 
@@ -214,9 +216,9 @@ def finetune_cache(spark: SparkSession, data: str, labels: str, out_dir: str, so
     if label_policy not in ("segment_only", "flow_contaminated"):
         raise ValueError("label_policy must be segment_only or flow_contaminated")
     segments.validate(packet_cutoff, flow_timeout_s * 1_000_000_000, timeout_check_interval, graph_token_count)
-    packets = text.read_data(spark, data, labels, "finetune", timestamp_unit, field7_mode).persist()
+    packets = written(text.read_data(spark, data, labels, "finetune", timestamp_unit, field7_mode), "packets")
     attacked = segments.attack_keys(packets)
-    keys = segments.selected_keys(packets, normal_flow_sample_size, seed) if attack_centered else None
+    keys = written(segments.selected_keys(packets, normal_flow_sample_size, seed), "keys") if attack_centered else None
     segs = segments.segments(packets, "finetune", packet_cutoff, flow_timeout_s * 1_000_000_000, timeout_check_interval, keys=keys, max_packets=max_packets)
     segs = segments.label_segments(segs, label_policy, attacked)
     shards = _cache(spark, packets, segs, out_dir, window_duration_s, window_packet_limit, shard_flows, 5, source_name=source_name)
@@ -233,6 +235,6 @@ def finetune_cache(spark: SparkSession, data: str, labels: str, out_dir: str, so
         "derived_feature_set": "flow_v2_derived.2", "label_policy": label_policy, "segment_label_policy": "segment_max", "sampling_unit": "detection_event_segment", "cache_builder": "pktloom_finetune_cache",
         "metadata_fields": ["flow_key_hashes", "segment_ids", "cutoff_timestamp_ns", "segment_labels", "prefix_lens", "protocols", "dst_ports", "length_buckets", "service_buckets"],
     }
-    packets.unpersist()
+    dropped(packets)
     sinks.write_metadata(out_dir, metadata)
     return metadata

@@ -57,3 +57,10 @@ def test_dialects(spark):
 def test_flow_hash_is_salted(spark):
     r = spark.createDataFrame([("a", 1)], "x string, y int").select(C.flow_hash(["x", "y"]).alias("a"), C.flow_hash(["x", "y"], "s").alias("b"), C.flow_hash(["x", "y"], "t").alias("c")).first()
     assert len({r.a, r.b, r.c}) == 3
+
+
+def test_fixed6(spark):
+    rnd = random.Random(4)
+    values = [0.0, -0.5, 580.1343445, 0.0000005, 1 / 128, 3 / 128, 8.9e9, 1e12, -2.0000005, *(rnd.randrange(10**12) / 1e9 for _ in range(500)), *(rnd.random() * 10 ** rnd.randrange(-8, 9) for _ in range(500)), *(rnd.randrange(10**9) * 1e-7 for _ in range(500))]
+    got = [r.s for r in spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double").select("i", C.fixed6(F.col("v")).alias("s")).orderBy("i").collect()]
+    assert got == [f"{v:.6f}" for v in values]

@@ -170,6 +170,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = named.groupBy("root").agg(F.min("least").alias("reached"))
     linked = member.join(least, "root").select("fp", "reached")
     of = nodes.join(linked, "fp", "left").select("fp", F.coalesce("reached", "least").alias("component_id"))
+    of = written(of, "classes")  # a plain table, so that the join can split a fingerprint that many rows have
     return fps.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 

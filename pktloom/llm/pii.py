@@ -132,7 +132,8 @@ def contexts(text: str, start: int, end: int) -> list[str]:
     return out
 
 
-_SCANNED = "row_id bigint, row_ struct<{}>, base array<struct<kind:int,start:int,end:int>>, base_sha256 string, seen array<struct<kind:int,start:int,end:int,seed:boolean,instance:bigint,patterns:array<string>>>"
+_SCANNED = "row_id bigint, doc_id bigint, base array<struct<kind:int,start:int,end:int>>, base_sha256 string, seen array<struct<kind:int,start:int,end:int,seed:boolean,instance:bigint,patterns:array<string>>>"
+_ROW = "__row_id"
 
 
 def _instance(text: str) -> int:
@@ -140,13 +141,18 @@ def _instance(text: str) -> int:
     return xxhash.xxh64_intdigest("".join(c for c in text.lower() if c.isalnum() or c == "@").encode("utf-8", "replace")) >> 1
 
 
-def scanned(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """A row for each row of docs: row_id, the columns to keep, its base spans and the instances seen."""
-    text_batches(docs.sparkSession)
-    keep = docs.columns if keep is None else keep
+def _numbered(docs: DataFrame) -> DataFrame:
+    """docs with a number for each row; a table's rows come in the same order again, so it stays the same."""
+    return docs.withColumn(_ROW, F.monotonically_increasing_id())
+
+
+def scanned(numbered: DataFrame, text_col: str = "text", id_col: str | None = None) -> DataFrame:
+    """A row for each row: row_id, doc_id, its base spans, and the instances seen with their patterns; no texts."""
+    text_batches(numbered.sparkSession)
     span = [("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]
     seen_type = pa.list_(pa.struct([*span, ("seed", pa.bool_()), ("instance", pa.int64()), ("patterns", pa.list_(pa.string()))]))
-    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row_"), F.col(text_col).alias("__text"))
+    doc_id = F.lit(None) if id_col is None else F.col(id_col)
+    rows = numbered.select(F.col(_ROW).alias("row_id"), doc_id.cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
@@ -161,10 +167,9 @@ def scanned(docs: DataFrame, text_col: str = "text", keep: list[str] | None = No
                     for seed, spans in ((True, base), (False, candidates(text, base)))
                     for k, s, e in spans
                 ])
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(all_base, pa.list_(pa.struct(span))), pa.array(digests, pa.string()), pa.array(all_seen, seen_type)], names=["row_id", "row_", "base", "base_sha256", "seen"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(all_base, pa.list_(pa.struct(span))), pa.array(digests, pa.string()), pa.array(all_seen, seen_type)], names=["row_id", "doc_id", "base", "base_sha256", "seen"])
 
-    kinds = rows.schema["row_"].dataType.simpleString()
-    return rows.mapInArrow(scan, _SCANNED.replace("struct<{}>", kinds))
+    return rows.mapInArrow(scan, _SCANNED)
 
 
 def confident_patterns(edges: DataFrame, confident: float = CONFIDENT, seeds: int = SEEDS, rounds: int = ROUNDS) -> DataFrame:
@@ -190,52 +195,66 @@ def confident_patterns(edges: DataFrame, confident: float = CONFIDENT, seeds: in
     return scores.where(F.col("score") >= confident)
 
 
-def spans(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None, **options) -> DataFrame:
-    """(row, base, base_sha256, spans) for each row of docs; row holds the kept columns.
-
-    base and spans are arrays of (kind number, start, end) by kind, then start; spans are the base ones and those that
-    the method adds. Null and empty texts have none. Repeated rows stay apart; an empty table gives an empty one.
-    """
-    found = written(scanned(docs, text_col, keep), "scanned")
+def added(found: DataFrame, **options) -> DataFrame:
+    """(row_id, new) of the rows of a scan that stand in confident patterns: spans beyond the base ones."""
     seen = found.select("row_id", F.explode("seen").alias("s")).select("row_id", "s.*")
     edges = seen.select("kind", "seed", "instance", F.explode("patterns").alias("pattern"))
     sure = written(confident_patterns(edges, **options), "patterns")
     new = seen.where("not seed").select("row_id", "kind", "start", "end", F.explode("patterns").alias("pattern")).join(sure.select("kind", "pattern"), ["kind", "pattern"])
-    new = new.groupBy("row_id").agg(F.collect_set(F.struct("kind", "start", "end")).alias("new"))
-    both = found.drop("seen").join(new, "row_id", "left")
-    every = F.when(F.col("new").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "new")))
-    return both.select(F.col("row_").alias("row"), "base", "base_sha256", every.alias("spans"))
+    return written(new.groupBy("row_id").agg(F.collect_set(F.struct("kind", "start", "end")).alias("new")), "added")
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added) for each row; the counts and digest are of base spans."""
-    found = spans(docs, text_col, keep=[id_col], **options)
+    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added) for each row; the counts and digest are of base spans.
+
+    Spans are by kind, then start. Null and empty texts have none. Repeated rows stay apart; an empty table gives an
+    empty one. docs must give its rows in the same order each time it is read, as a table does.
+    """
+    found = written(scanned(_numbered(docs), text_col, id_col), "scanned")
+    both = found.drop("seen").join(added(found, **options), "row_id", "left")
+    every = F.when(F.col("new").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "new")))
     names = F.array(*map(F.lit, KINDS))
-    listed = F.transform("spans", lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"], s["end"]))
+    listed = F.transform(every, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"], s["end"]))
 
     def count(k: int) -> F.Column:
         return F.size(F.filter("base", lambda s: s["kind"] == k)).cast("bigint").alias(f"n_{KINDS[k]}")
 
     counts = [count(k) for k in range(len(KINDS))]
-    return found.select(F.col("row").getField(id_col).cast("bigint").alias("doc_id"), *counts, "base_sha256", F.array_join(listed, ",").alias("spans"), (F.size("spans") - F.size("base")).cast("bigint").alias("n_added"))
+    return both.select("doc_id", *counts, "base_sha256", F.array_join(listed, ",").alias("spans"), F.size(F.coalesce("new", F.array().cast(found.schema["base"].dataType))).cast("bigint").alias("n_added"))
+
+
+def without(text: str | None, spans: Iterable[tuple[int, int, int]]) -> str | None:
+    """The text with its spans, as (kind number, start, end), replaced by their kinds.
+
+    Of spans that overlap the one that starts first stands, and the earlier kind among equals.
+    """
+    out, at = [], 0
+    for s, k, e in sorted((s, k, e) for k, s, e in spans):
+        if s >= at:
+            out += [text[at:s], f"[{KINDS[k].upper()}]"]
+        at = max(at, e)
+    return "".join([*out, text[at:]]) if out else text
 
 
 def masked(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """docs with all their columns, their texts with each span replaced by its kind in brackets.
 
-    Overlapping spans are one, of the kind that starts first (the earlier of KINDS among equals).
+    The first pass keeps no texts; in the second, base spans are found again and only the added ones join in, which are
+    few, so that texts are neither stored nor, where Spark broadcasts the added ones, shuffled.
     """
-    found = spans(docs, text_col, **options)
-    text = F.col("row").getField(text_col)
-    order = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))))
-    names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    start = F.struct(F.lit("").alias("kept"), F.lit(0).alias("at"))
-
-    def step(acc, s):
-        new = F.concat(acc["kept"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.element_at(names, s["kind"] + 1))
-        inside = s["start"] < acc["at"]
-        return F.struct(F.when(inside, acc["kept"]).otherwise(new).alias("kept"), F.greatest(acc["at"], s["end"]).alias("at"))
-
-    out = F.aggregate(order, start, step, lambda acc: F.concat(acc["kept"], F.substring(text, acc["at"] + 1, F.length(text))))
-    out = F.when(F.size("spans") == 0, text).otherwise(out)
-    return found.select(*[out.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns])
+    numbered = _numbered(docs)
+    found = written(scanned(numbered, text_col), "scanned")
+    rows = numbered.join(added(found, **options).withColumnRenamed("row_id", _ROW), _ROW, "left").select(*[F.col(f"`{c}`") for c in docs.columns], F.col("new").alias("__new"))
+    at = docs.columns.index(text_col)
+
+    def mask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            texts = []
+            for text, new in zip(b.column(at).to_pylist(), b.column(b.num_columns - 1).to_pylist()):
+                texts.append(without(text, [*base_spans(text or ""), *((x["kind"], x["start"], x["end"]) for x in new or ())]))
+            columns = [pa.array(texts, pa.string()) if k == at else b.column(k) for k in range(b.num_columns - 1)]
+            yield pa.RecordBatch.from_arrays(columns, names=docs_columns)
+
+    docs_columns = docs.columns
+    text_batches(docs.sparkSession)
+    return rows.mapInArrow(mask, docs.schema)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .common import few_files, slices, text_batches, written
 
 MIN_WORDS = 20
-#: Words of a sentence below which it belongs to its neighbour in the line.
+#: Words of a sentence at least, but for the last of a line.
 SHORT = 4
 ENDS = {
     "line": re.compile(r"\n"),
@@ -41,39 +41,18 @@ def units(text: str | None, unit: str = "sentence") -> list[tuple[int, int, str]
     """(start, end, normalised) of the units of a text, without outer white space; blank ones are none.
 
     A sentence ends at a full stop, question or exclamation mark, with what follows it without white space, or at
-    the line's end. One of fewer than SHORT words belongs to the sentence before it in its line, or to the one
-    after it at the line's start.
+    the line's end. One of fewer than SHORT words goes on with the next in its line.
     """
     out: list[tuple[int, int, str]] = []
     text, at = text or "", 0
-    found = [m.end() for m in ENDS[unit].finditer(text)]
-    if not found or found[-1] < len(text):
-        found.append(len(text))
-    line_start, pending = True, None
-    for end in found:
+    for end in (*(m.end() for m in ENDS[unit].finditer(text)), len(text)):
         part = text[at:end]
-        words = part.split()
+        words = part.lower().split()
+        if unit == "sentence" and len(words) < SHORT and end < len(text) and text[end - 1] != "\n":
+            continue
         if words:
-            start = at + len(part) - len(part.lstrip())
-            stop = at + len(part.rstrip())
-            if unit == "sentence":
-                if pending is not None:
-                    start, words, pending = pending, text[pending:stop].split(), None
-                if len(words) < SHORT and not line_start:
-                    first = out.pop()[0]
-                    out.append((first, stop, " ".join(text[first:stop].lower().split())))
-                elif len(words) < SHORT and not part.endswith("\n"):
-                    pending = start
-                else:
-                    out.append((start, stop, " ".join(words).lower()))
-                    line_start = False
-            else:
-                out.append((start, stop, " ".join(words).lower()))
-        if part.endswith("\n"):
-            line_start = True
+            out.append((at + len(part) - len(part.lstrip()), at + len(part.rstrip()), " ".join(words)))
         at = end
-    if pending is not None:
-        out.append((pending, len(text.rstrip()), " ".join(text[pending:].lower().split())))
     return out
 
 

@@ -220,10 +220,15 @@ def to_ns(value: Column, unit: str) -> Column:
     raise ValueError(f"timestamp unit must be ns or us, not {unit}")
 
 
+def wall_micros(at: Column) -> Column:
+    """Microseconds of a timestamp's wall clock, read as UTC whatever the session's time zone."""
+    return F.unix_micros(F.from_utc_timestamp(at.cast("timestamp"), F.current_timezone()))
+
+
 def rule_time_ns(text: Column, offset_hours: int = 0) -> Column:
     """Nanoseconds of a naive UTC time of minute or second resolution, shifted by hours; null for other texts."""
     at = F.coalesce(F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss")), F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm")))
-    return (F.unix_micros(at) + offset_hours * 3_600_000_000) * 1000
+    return (wall_micros(at) + offset_hours * 3_600_000_000) * 1000
 
 
 def fixed6(x: Column) -> Column:

@@ -80,7 +80,7 @@ def csv_rows(features: DataFrame) -> DataFrame:
     at = F.when(odd, F.lit(0)).otherwise(F.floor(ts / 1_000_000_000).cast("bigint"))
     f6 = lambda c: fixed6(F.col(c)).alias(c)
     return features.select(
-        "src_ip", "src_port", "dst_ip", "dst_port", "protocol", F.date_format(F.timestamp_seconds(at), "MM/dd/yyyy HH:mm:ss").alias("timestamp"),
+        "src_ip", "src_port", "dst_ip", "dst_port", "protocol", F.date_format(F.to_utc_timestamp(F.timestamp_seconds(at), F.current_timezone()), "MM/dd/yyyy HH:mm:ss").alias("timestamp"),
         *map(f6, ["byteps", "pps", "duration", "pkt_len_mean", "pkt_len_std", "iat_mean", "iat_std"]), "fwd_pkts", "bwd_pkts", f6("fwd_segment_size"), f6("bwd_segment_size"),
         F.when(F.col("label"), "ATTACK").otherwise("BENIGN").alias("label"),
     )

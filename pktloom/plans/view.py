@@ -21,7 +21,7 @@ def packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = spark.read.parquet(f"{sf_dir}/events.parquet")
     user = F.col("user_id")
     k = F.get_json_object("props", "$.k").cast("bigint")
-    ts = F.unix_micros(F.col("ts").cast("timestamp")) - EPOCH_US
+    ts = C.wall_micros(F.col("ts")) - EPOCH_US
     port = F.element_at(F.create_map(*[F.lit(x) for kv in PORTS.items() for x in kv]), (user % 5).cast("int"))
     flag = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in FLAGS.items() for x in kv]), F.col("event_type")), F.lit(32))
     client = F.concat_ws(".", F.lit("10.0"), F.floor(user / 256).cast("bigint"), user % 256)

@@ -36,3 +36,12 @@ def test_entry(spark):
     import __spark_entry__ as e
 
     assert e.entry(spark).count() > 0 and set(e.oracle_sql()) <= set(e.queries())
+
+
+@pytest.mark.parametrize("name", ["canonical_key", "unit_us_to_ns", "rule_time_parse", "rule_first_match", "flow_csv"])
+def test_other_time_zone(spark, con, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        test_query(spark, con, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

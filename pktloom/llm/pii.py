@@ -1,7 +1,8 @@
 """Personal data by patterns and by bootstrapped contextual extraction.
 
 Seeds are what the four base patterns find. Each seed, and each other token that looks like an identifier, has lexical
-patterns: the two words before it, and the words around it. Patterns and instances form a graph
+patterns: the two words before it, the words around it, and its own form, in which digits and runs of letters are alike. So an
+identifier that a base match swallowed with its neighbour is found by the form of the others. Patterns and instances form a graph
 that Spark scores iteratively: a pattern's score is the share of its distinct instances' scores, over one more
 instance than it has; a seed's score is 1, and another instance's is that of its best pattern that is confident. Tokens that stand in a confident pattern and have its kind's shape
 are spans, too. One pass over the texts makes the graph; what follows reads tables of instances only.
@@ -32,9 +33,9 @@ IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-#: Tokens with a digit or @, from that character on; and local numbers in groups.
+#: Tokens with a digit or @, from that character on; and numbers in groups.
 _MARKED = re.compile(r"[0-9@]\S*")
-_GROUPED = re.compile(r"(?:\([0-9]{2,4}\)[\x20.-]?|[0-9]{2,4}[\x20.-])?[0-9]{3}[\x20.-][0-9]{4}(?![0-9])")
+_GROUPED = re.compile(r"(?:\+[0-9]{1,3}[\x20.-]?)?(?:\([0-9]{2,4}\)[\x20.-]?|[0-9]{2,4}[\x20.-])?[0-9]{3}[\x20.-][0-9]{4}(?![0-9])")
 _EDGE = "\"'`.,;:!?()[]{}<>|*#$%&=/\\"
 
 
@@ -84,10 +85,10 @@ def shape(token: str) -> int | None:
     letters = sum(map(str.isalpha, token))
     if letters:
         return None
-    if token.count(".") == 3 and 4 <= digits <= 12:
-        return 1
+    if IP.fullmatch(token):
+        return 1 if all(int(p) <= 255 for p in token.split(".")) else None
     if 13 <= digits <= 19:
-        return 2
+        return 2 if CARD.fullmatch(token) and luhn(token.replace("-", "")) else None
     if 7 <= digits <= 12:
         return 3
     return None
@@ -120,11 +121,15 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
     return out
 
 
+_LETTERS = re.compile(r"[^\W\d_]+")
+_DIGIT = re.compile(r"[0-9]")
+
+
 def contexts(text: str, start: int, end: int) -> list[str]:
-    """The lexical patterns of a span: the two words before it, and the words before and after it."""
+    """The lexical patterns of a span: the two words before it, the words before and after it, and its own form."""
     before = text[max(0, start - 80) : start].lower().split()[-2:]
     after = text[end : end + 40].lower().split()[:1]
-    out = []
+    out = ["S " + _DIGIT.sub("9", _LETTERS.sub("a", text[start:end]))[:80]]
     if len(before) == 2:
         out.append("L " + " ".join(before))
     if before and after:

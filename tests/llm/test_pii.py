@@ -69,6 +69,19 @@ def test_bootstrapping(spark):
     assert pii.report(df.where("false")).count() == 0
 
 
+def test_swallowed_identifiers(spark):
+    rnd = random.Random(5)
+
+    def card():
+        n = "4" + "".join(rnd.choices("0123456789", k=14))
+        return next(n + d for d in "0123456789" if pii.luhn(n + d))
+
+    rows = [(i, f"w{i} +1 ({100 + i}) 555-{1000 + i} and {card()} x{i}") for i in range(20)]
+    rows += [(100, f"Both +1 (777) 555-1234 {card()} here"), (101, "Odd 4000000000000001 or 999.1.1.1 or 555-1234 number")]
+    got = {r.doc_id: r for r in pii.report(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)).collect()}
+    assert got[100].n_phone == got[100].n_card == 0 and got[100].spans == "card:23:39,phone:5:22" and got[101].spans == ""
+
+
 def test_few_seeds_are_no_pattern(spark):
     df = spark.createDataFrame(people(4), "doc_id bigint, text string").coalesce(1)
     assert all(r.n_added == 0 for r in pii.report(df).collect())

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..schema import CANONICAL, KEY
+from ..storage import written
 from .ordering import row_numbers, running_max
 
 GAP_NS = 1_000_000
@@ -170,7 +171,7 @@ def select_by_budget(stats: DataFrame, key: list[str], min_ts: int, max_ts: int,
     f = f.where(pkts <= quota)
     dealt = f.repartition(bins, "__bin") if budget >= bins else f.coalesce(1)
     first = _greedy(dealt.sortWithinPartitions("__bin", "__key", *key), "__bin", quota, budget).select(*stats.columns)
-    first = first.checkpoint() if stats.sparkSession.sparkContext.getCheckpointDir() else first
+    first = written(first, "chosen")
     left = budget - (first.agg(F.sum("pkts")).first()[0] or 0)
     if left <= 0:
         return first

@@ -17,7 +17,7 @@ def shared_dir(spark: SparkSession) -> str:
     Where it is unset a temporary folder is used, which only a local master may do.
     """
     sc = spark.sparkContext
-    found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    found = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not found:
         if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")

@@ -92,6 +92,13 @@ def test_text(spark, tmp_path):
     assert "".join(f.read_text() for f in sorted((tmp_path / "out.label").glob("part-*"))).split() == ["0", "0", "0"]
 
 
+def test_labels_in_ranges(spark, tmp_path):
+    said = "".join("10x\n"[i * 7 % 4] for i in range(1000))
+    (tmp_path / "l").write_text(said)
+    got = [(r.line_no, r.label) for r in text.read_labels(spark, f"{tmp_path}/l", chunk_bytes=37).orderBy("line_no").collect()]
+    assert got == list(enumerate(c == "1" for c in said if c in "01"))
+
+
 def test_config(tmp_path):
     path = tmp_path / "c.json"
     path.write_text(json.dumps({"global": {"mode": "folder", "output_dir": "o", "neg_sampling_rate": 1}, "attacks": []}))

@@ -34,6 +34,7 @@ ENDS = {
     "sentence": re.compile(r"\n|[.!?。！？][^\w\s]*[^\S\n]+"),
 }
 
+_ROW = "__row_id"
 _UNITS = "row_id bigint, doc_id bigint, unit bigint, start bigint, end bigint, n_words bigint, h1 bigint, h2 bigint"
 
 
@@ -57,7 +58,7 @@ def units(text: str | None, unit: str = "sentence") -> list[tuple[int, int, str]
 
 
 def unit_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: str = "sentence") -> DataFrame:
-    """A row for each unit: the row it is in, its place and offsets (code points), its words and 128-bit digest."""
+    """A row for each unit of numbered rows: the row it is in, its place and offsets (code points), its words and 128-bit digest."""
     text_batches(docs.sparkSession)
     if unit not in ENDS:
         raise ValueError(f"unit must be one of {sorted(ENDS)}, not {unit}")
@@ -80,13 +81,13 @@ def unit_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 cols = [b.column(0).take(at), b.column(1).take(at), *(pa.array(x, pa.int64()) for x in (numbers, starts, ends, words)), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy())]
                 yield pa.RecordBatch.from_arrays(cols, names=["row_id", "doc_id", "unit", "start", "end", "n_words", "h1", "h2"])
 
-    rows = docs.select("row_id", F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(_ROW).alias("row_id"), F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(scan, _UNITS)
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    """docs with a row_id; a scan's partitions and rows come in the same order again, so it stays the same."""
-    return docs.withColumn("row_id", F.monotonically_increasing_id())
+    """docs with a number for each row; a scan's partitions and rows come in the same order again, so it stays the same."""
+    return docs.withColumn(_ROW, F.monotonically_increasing_id())
 
 
 def _removed(numbered: DataFrame, id_col: str, text_col: str, unit: str, min_words: int) -> DataFrame:
@@ -119,12 +120,12 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     docs must give its rows in the same order each time it is read, as a table does.
     """
-    if "removed" in docs.columns or "row_id" in docs.columns:
-        raise ValueError("docs must not have a column removed or row_id")
+    if "removed" in docs.columns:
+        raise ValueError("docs must not have a column removed")
     numbered = _numbered(docs)
     spans = _removed(numbered, id_col, text_col, unit, min_words)
     spans = spans.groupBy("row_id").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("removed"))
-    joined = numbered.join(spans, "row_id", "left")
+    joined = numbered.join(spans.withColumnRenamed("row_id", _ROW), _ROW, "left")
     pieces = F.aggregate(
         "removed",
         F.struct(F.lit("").alias("kept"), F.lit(0).cast("bigint").alias("at")),

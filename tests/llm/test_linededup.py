@@ -40,7 +40,7 @@ def test_against_brute_force(spark, unit):
     sentences = [" ".join(rnd.choices("a bb ccc Éd ee".split(), k=rnd.randint(1, 9))) + "." for _ in range(40)]
     rows = [(rnd.choice([None, *range(25)]), rnd.choice(["", "\n"]).join(rnd.choices([s + rnd.choice([" ", "\n", "\n\n"]) for s in sentences], k=rnd.randint(0, 12)))) for _ in range(60)]
     rows += [(3, None), (4, ""), rows[5], (70, "word " * 30000)]
-    df = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1).selectExpr("*", "1 AS unit", "2 AS h1")
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1).selectExpr("*", "1 AS unit", "2 AS h1", "3 AS row_id", "4 AS kept")
     got = [(r.doc_id, r.unit, r.start, r.end, r.kept_doc_id, r.kept_start, r.kept_end) for r in ld.removed_units(df, unit=unit, min_words=8).collect()]
     assert sorted(got, key=str) == sorted(slow(rows, unit, 8), key=str) and got
     assert ld.removed_units(df.where("false"), unit=unit).count() == 0

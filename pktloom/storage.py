@@ -7,8 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Files of a written table at most, for each core. Small files cost a store more than they are worth.
-FILES_PER_CORE = 8
+#: Files of a written table at most, for each core; and of one that aggregates leave small. Small files cost a store more than they are worth.
+FILES_PER_CORE, FEW_PER_CORE = 8, 2
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -30,16 +30,16 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def few_files(df: DataFrame) -> DataFrame:
-    """df in no more partitions than FILES_PER_CORE for each core, without a shuffle."""
-    return df.coalesce(FILES_PER_CORE * df.sparkSession.sparkContext.defaultParallelism)
+def few_files(df: DataFrame, per_core: int = FILES_PER_CORE) -> DataFrame:
+    """df in no more partitions than so many for each core, without a shuffle."""
+    return df.coalesce(per_core * df.sparkSession.sparkContext.defaultParallelism)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, per_core: int = FILES_PER_CORE) -> DataFrame:
     """The frame as a Parquet table in the shared folder: lineage is cut and survives lost executors."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    few_files(df).write.parquet(path)
+    few_files(df, per_core).write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out

@@ -8,9 +8,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import SparkSession
 
-from ..storage import dropped, few_files, new_path, shared_dir, written
+from ..storage import FEW_PER_CORE, dropped, few_files, new_path, shared_dir, written
 
-__all__ = ["dropped", "few_files", "new_path", "shared_dir", "slices", "sorted_groups", "text_batches", "utf8", "written"]
+__all__ = ["FEW_PER_CORE", "dropped", "few_files", "new_path", "shared_dir", "slices", "sorted_groups", "text_batches", "utf8", "written"]
 
 #: Rows of an Arrow batch that holds whole texts.
 TEXT_ROWS = 500

@@ -8,6 +8,9 @@ A unit counts only in a run of neighbouring repeated units of at least `min_word
 short units that are equal by chance leave a text alone. Sentences catch passages that start or
 end inside a line, where digests of lines and paragraphs differ.
 
+The table of units is read twice and is kept on the executors' disks until Spark's cache is cleared; what is lost with an
+executor is made again from the texts.
+
 Skew: a digest's least occurrence is a partial aggregate, and occurrences meet their kept one in a join whose
 large partitions can be split. Only one row's own units meet in one task.
 """
@@ -20,10 +23,11 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import few_files, slices, text_batches, written
+from .common import FEW_PER_CORE, few_files, slices, text_batches, written
 
 MIN_WORDS = 20
 #: Words of a sentence at least, but for the last of a line.
@@ -91,10 +95,10 @@ def _numbered(docs: DataFrame) -> DataFrame:
 
 
 def _removed(numbered: DataFrame, id_col: str, text_col: str, unit: str, min_words: int) -> DataFrame:
-    found = written(unit_table(numbered, id_col, text_col, unit), "units")
+    found = unit_table(numbered, id_col, text_col, unit).persist(StorageLevel.DISK_ONLY)
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id", "unit", "start", "end")
     groups = found.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(rank).alias("kept")).where("n > 1")
-    groups = written(groups.select("h1", "h2", "kept"), "repeated")
+    groups = written(groups.select("h1", "h2", "kept"), "repeated", FEW_PER_CORE)
     again = found.join(groups, ["h1", "h2"]).where((F.col("row_id") != F.col("kept.row_id")) | (F.col("unit") != F.col("kept.unit")))
     of_row = Window.partitionBy("row_id")
     run = again.withColumn("run", F.col("unit") - F.row_number().over(of_row.orderBy("unit")))
@@ -112,7 +116,7 @@ def removed_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Null, empty and blank texts have no units. Of repeated rows the first keeps its text and the others lose theirs.
     A null doc_id ranks last. Ties of rank are rows with equal ids, which their order in the table decides.
     """
-    return few_files(_removed(_numbered(docs), id_col, text_col, unit, min_words).drop("row_id"))
+    return few_files(_removed(_numbered(docs), id_col, text_col, unit, min_words).drop("row_id"), FEW_PER_CORE)
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: str = "sentence", min_words: int = MIN_WORDS) -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Files of a written table at most, for each core; and of one that aggregates leave small. Small files cost a store more than they are worth.
 FILES_PER_CORE, FEW_PER_CORE = 8, 2
+#: Shuffle partitions to a file at least, so that where these are many for much data, files and tasks are, too.
+PARTITIONS_PER_FILE = 8
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,8 +33,10 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def few_files(df: DataFrame, per_core: int = FILES_PER_CORE) -> DataFrame:
-    """df in no more partitions than so many for each core, without a shuffle."""
-    return df.coalesce(per_core * df.sparkSession.sparkContext.defaultParallelism)
+    """df in no more partitions than so many for each core, or than an eighth of the shuffle partitions, without a shuffle."""
+    spark = df.sparkSession
+    shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.coalesce(max(per_core * spark.sparkContext.defaultParallelism, shuffled // PARTITIONS_PER_FILE))
 
 
 def written(df: DataFrame, name: str, per_core: int = FILES_PER_CORE) -> DataFrame:

@@ -115,6 +115,12 @@ def canonical_key() -> list[Column]:
     ]
 
 
+def canonical_text() -> Column:
+    """The undirected key as one text, its parts in the order of canonical_key()."""
+    one = lambda a, b: F.concat_ws("|", *[F.col(c).cast("string") for c in (f"{a}_ip", f"{a}_port", f"{b}_ip", f"{b}_port", "protocol")])
+    return F.when(swapped(), one("dst", "src")).otherwise(one("src", "dst"))
+
+
 def edge_key() -> list[Column]:
     """The pair of addresses, the lesser first."""
     s = F.col("src_sort") > F.col("dst_sort")

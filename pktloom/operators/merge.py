@@ -73,8 +73,7 @@ def sampled(rate: float, seed: int = 0) -> Column:
     rate = min(1.0, max(0.0, rate))
     if rate >= 1:
         return F.lit(True)
-    key = F.concat_ws("|", *[c.cast("string") for c in C.canonical_key()])
-    own = F.when(F.col("src_ip").isNull(), F.concat_ws("|", F.lit(str(seed)), F.col("idx").cast("string"))).otherwise(key)
+    own = F.when(F.col("src_ip").isNull(), F.concat_ws("|", F.lit(str(seed)), F.col("idx").cast("string"))).otherwise(C.canonical_text())
     return C.h32(own) < int(rate * 2**32)
 
 

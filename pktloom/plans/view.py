@@ -31,14 +31,16 @@ def packets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(port == 53, C.UDP).otherwise(C.TCP).alias("protocol"), (k % 3 == 0).alias("back"), (F.floor("value") + 40).cast("int").alias("ip_len"),
         flag.alias("flag"), (F.col("event_type") == "error").alias("label"), user.alias("user_id"), k.alias("k"),
     )
-    back = F.col("back")
-    v = v.select(
+    back, user = F.col("back"), F.col("user_id")
+    number = {"client": user + 167_772_160, "server": user % 4 + 3_232_235_520}
+    sort = lambda a, b: F.unhex(F.concat(F.lit("04"), F.lpad(F.hex(F.when(back, number[a]).otherwise(number[b])), 8, "0")))
+    return v.select(
         "idx", F.lit(4).alias("ip_version"),
         F.when(back, F.col("server")).otherwise(F.col("client")).alias("src_ip"), F.when(back, F.col("client")).otherwise(F.col("server")).alias("dst_ip"),
         F.when(back, F.col("sport")).otherwise(F.col("cport")).alias("src_port"), F.when(back, F.col("cport")).otherwise(F.col("sport")).alias("dst_port"),
         "protocol", F.when(F.col("protocol") == C.UDP, 257).otherwise(F.col("flag").bitwiseOR(1)).alias("packet_code"), "ip_len", "ts_ns", "label", "user_id", "k",
+        sort("server", "client").alias("src_sort"), sort("client", "server").alias("dst_sort"),
     )
-    return v.withColumn("src_sort", C.ipv4_sort("src_ip")).withColumn("dst_sort", C.ipv4_sort("dst_ip"))
 
 
 #: CTEs of the same view; src_num and dst_num order addresses.

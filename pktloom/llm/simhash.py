@@ -172,19 +172,3 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of = nodes.join(linked, "fp", "left").select("fp", F.coalesce("reached", "least").alias("component_id"))
     of = written(of, "classes")  # a plain table, so that the join can split a fingerprint that many rows have
     return fps.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row of each group of near-duplicates: that of the least id (nulls last, then the first row).
-
-    docs must give its rows in the same order each time it is read, as a table does. A group's row is found by a partial
-    aggregate, and only numbers of rows meet the texts. Those are as many as rows stay, so texts are shuffled once at every size, and
-    never wait for a broadcast that grows with them.
-    """
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
-    found = near_duplicates(numbered, "__row", text_col).select(F.col("doc_id").alias("__row"), "component_id")
-    ids = numbered.select("__row", F.col(id_col).alias("__id"))
-    rank = F.struct(F.col("__id").isNull().alias("no_id"), "__id", "__row")
-    kept = found.join(ids, "__row").groupBy("component_id").agg(F.min(rank).alias("kept"))
-    kept = written(kept.select(F.col("kept.__row").alias("__row")), "kept")
-    return numbered.join(kept.hint("merge"), "__row", "left_semi").drop("__row")

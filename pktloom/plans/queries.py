@@ -431,8 +431,14 @@ def flow_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _streams(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Attack packets, and one benign packet of four: the small job that the SQL below fixes."""
+    attack, benign = _all_streams(spark, sf_dir)
+    return attack, benign.where("idx % 4 = 0")
+
+
+def _all_streams(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     p = view.packets(spark, sf_dir)
-    return p.where("user_id % 10 = 0"), p.where("user_id % 10 <> 0 and idx % 4 = 0")
+    return p.where("user_id % 10 = 0"), p.where("user_id % 10 <> 0")
 
 
 _STREAMS_SQL = """atk AS (SELECT *, max(ts_ns) OVER (ORDER BY idx ROWS UNBOUNDED PRECEDING) AS key FROM keyed WHERE user_id % 10 = 0),
@@ -443,9 +449,11 @@ looped AS (SELECT b0.*, cycle, cycle * (bmax + 1) + idx AS ord, base + greatest(
     (SELECT unnest(range(0, (SELECT greatest(0, CAST(ceil((amax - base) / (dur + 1000000.0)) AS BIGINT)) + 1 FROM facts))) AS cycle)),
 ben AS (SELECT *, max(aligned_ns) OVER (ORDER BY ord ROWS UNBOUNDED PRECEDING) AS key FROM looped)"""
 
+_ALL_STREAMS_SQL = _STREAMS_SQL.replace(" AND idx % 4 = 0", "")
 
-def _merged_sql(keep: str = "TRUE") -> str:
-    return f"""{_STREAMS_SQL}, both_ AS (SELECT idx, 0 AS is_benign, 0 AS cycle, idx AS ord, key, ts_ns AS said, src_ip, ip_len, label FROM atk
+
+def _merged_sql(keep: str = "TRUE", streams: str = _STREAMS_SQL) -> str:
+    return f"""{streams}, both_ AS (SELECT idx, 0 AS is_benign, 0 AS cycle, idx AS ord, key, ts_ns AS said, src_ip, ip_len, label FROM atk
     UNION ALL SELECT idx, 1, cycle, ord, key, aligned_ns, src_ip, ip_len, label FROM ben WHERE key < (SELECT amax FROM facts) AND {keep}),
 merged AS (SELECT row_number() OVER (ORDER BY key, is_benign, ord) - 1 AS seq, idx, CAST(cycle AS BIGINT) AS cycle, is_benign = 0 AS is_attack, said - said % 1000 AS ts_ns, src_ip, ip_len, label FROM both_)"""
 
@@ -539,6 +547,30 @@ def budget_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _merged_columns(merge.merge_by_budget(*_streams(spark, sf_dir), total=1500, attack_ratio=0.4, seed=1))
 
 
+# merging, with every packet of both streams
+
+
+@_query("SELECT idx, cycle, ord, aligned_ns FROM looped", _ALL_STREAMS_SQL)
+def benign_align_loop_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    attack, benign = _all_streams(spark, sf_dir)
+    return merge.align_and_loop(benign, merge.bounds(benign), merge.bounds(attack)).select("idx", "cycle", "ord", "aligned_ns")
+
+
+@_query(_MERGED_SELECT, _merged_sql(streams=_ALL_STREAMS_SQL))
+def merge_ordered_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _merged_columns(merge.merge_ordered(*_all_streams(spark, sf_dir)))
+
+
+@_query(_MERGED_SELECT, _merged_sql(f"{_H32.format(x=_KEY_TEXT)} < CAST(floor(0.5 * 4294967296) AS BIGINT)", _ALL_STREAMS_SQL))
+def merged_dataset_rows_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _merged_columns(merge.merge_ordered(*_all_streams(spark, sf_dir), rate=0.5))
+
+
+@_query()
+def budget_merge_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _merged_columns(merge.merge_by_budget(*_all_streams(spark, sf_dir), total=1500, attack_ratio=0.4, seed=1))
+
+
 # segments
 
 _CUTOFF, _TIMEOUT, _INTERVAL = 6, 60_000_000_000, 64

@@ -46,6 +46,12 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _octet(digits: str) -> bool:
+    """Whether a number is 255 at most; int() refuses very long ones."""
+    least = digits.lstrip("0")
+    return len(least) <= 3 and int(least or "0") <= 255
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind number, start, end) by kind, then start: leftmost non-overlapping matches that pass their kind's test."""
     out = []
@@ -62,7 +68,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
                     last = m.end()
             at = text.find("@", at + 1)
     if "." in text:
-        out += [(1, *m.span()) for m in IP.finditer(text) if all(len(p) <= 3 and int(p) <= 255 or int(p) <= 255 for p in m.group().split("."))]
+        out += [(1, *m.span()) for m in IP.finditer(text) if all(map(_octet, m.group().split(".")))]
     for m in CARD.finditer(text):
         if m.end() - m.start() >= 13:
             digits = m.group().replace(" ", "").replace("-", "")
@@ -86,7 +92,7 @@ def shape(token: str) -> int | None:
     if letters:
         return None
     if IP.fullmatch(token):
-        return 1 if all(int(p) <= 255 for p in token.split(".")) else None
+        return 1 if all(map(_octet, token.split("."))) else None
     if 13 <= digits <= 19:
         return 2 if CARD.fullmatch(token) and luhn(token.replace("-", "")) else None
     if 7 <= digits <= 12:

@@ -290,6 +290,14 @@ def data_label_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.attach_labels(text.parse_lines(_lines(spark, sf_dir, 9), dialect="finetune"), labels).select("line_no", "label")
 
 
+@_query("SELECT idx AS line_no, label FROM packets WHERE idx < (SELECT max(idx) FROM packets) AND k NOT IN (7, 8, 9, 10)")
+def data_label_zip_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with labels of all but the last, as rows: no label text is collected."""
+    p = view.packets(spark, sf_dir)
+    labels = p.crossJoin(p.agg(F.max("idx").alias("last"))).where("idx < last").select(F.col("idx").alias("line_no"), "label")  # one row
+    return text.attach_labels(text.parse_lines(_lines(spark, sf_dir, 9), dialect="finetune"), labels).select("line_no", "label")
+
+
 # labels
 
 #: Rules over the view's clients; times in seconds after 1970.

@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,18 +39,26 @@ TREES, DEPTH, BINS, RATE, PENALTY = 80, 3, 32, 0.15, 2.0
 #: Share of the score that orders rows which calibration makes equal.
 ORDERING = 0.01
 REMEMBERED = 150_000
+#: Letters beyond which a word is named by its digest.
+LONG = 64
 
 SECOND_PERSON = frozenset("you your yours yourself yourselves u ur tu te toi ton ta tes vous votre vos du dich dir dein deine deinen ihr euch euer usted ustedes tú ti tus vosotros vuestro".split())
 #: Letters that digits and signs stand for.
 LEET = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i", "*": "", "_": "", "-": "", ".": ""})
 _WORD = re.compile(r"[^\W_]+")
-_OBFUSCATED = re.compile(r"[^\W\d_]+(?:[0-9@$!*_.-]+[^\W\d_]+)+")
+#: Letters with digits or signs among them. A match starts where a run of letters does, so each run is tried once.
+_OBFUSCATED = re.compile(r"(?<![^\W\d_])[^\W\d_]++(?:[0-9@$!*_.-]++[^\W\d_]++)++")
 N_FEATURES = 16
 
 
+def whole(word: str) -> str:
+    """The entry that stands for a word itself; a long one is named by its digest, so that entries are short."""
+    return "=" + word if len(word) <= LONG else "#" + xxhash.xxh3_128_hexdigest(word.encode("utf-8", "replace"))
+
+
 def grams(word: str) -> list[str]:
     """A word's entries: itself, and its beginnings."""
-    return ["=" + word, *(word[:n] for n in PREFIXES if len(word) > n)]
+    return [whole(word), *(word[:n] for n in PREFIXES if len(word) > n)]
 
 
 class Lexicon:
@@ -72,8 +81,8 @@ class _Weights(dict):
         if len(self) >= REMEMBERED:
             self.clear()
         get = self.entries.get
-        found = (get("=" + word, 0.0), max([get(word[:n], 0.0) for n in PREFIXES if len(word) > n], default=0.0))
-        if len(word) <= 64:
+        found = (get(whole(word), 0.0), max([get(word[:n], 0.0) for n in PREFIXES if len(word) > n], default=0.0))
+        if len(word) <= LONG:
             self[word] = found
         return found
 
@@ -213,9 +222,11 @@ class Model:
     rates: np.ndarray
 
     def scores(self, x: np.ndarray) -> np.ndarray:
+        if not len(self.knots):
+            return np.zeros(len(x))
         raw = self.trees.raw(x)
         even = 1 / (1 + np.exp(-raw))
-        calibrated = np.interp(raw, self.knots, self.rates) if len(self.knots) else even
+        calibrated = np.interp(raw, self.knots, self.rates)
         return np.clip((1 - ORDERING) * calibrated + ORDERING * even, 0.0, 1.0)
 
 
@@ -231,18 +242,20 @@ def _log_odds(t: np.ndarray, c: np.ndarray, nt: float, nc: float) -> tuple[np.nd
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
-    """Learns from labelled rows that are not held out; without any, every score is one half.
+    """Learns from labelled rows that are not held out; without any, nothing is known to be toxic and every score is 0.
 
+    An id with several labels has the larger one, and an id with several texts is learned from by the least of them.
     The driver holds the sample's features and the lexicon, both bounded by parameters.
     """
     spark = docs.sparkSession
     text_batches(spark)
     usable = labels.select(F.col(id_col).cast("bigint").alias("id"), F.col(label_col).cast("int").alias("y")).where("id is not null and y in (0, 1)")
-    usable = usable.where(~held_out("id"))
+    usable = usable.where(~held_out("id")).groupBy("id").agg(F.max("y").alias("y"))
     totals = {r.y: r.n for r in usable.groupBy("y").agg(F.count("*").alias("n")).collect()}
     classes = [usable.where(F.col("y") == y).orderBy(F.xxhash64("id", F.lit(1)), "id").limit(sample) for y in (0, 1)]
     chosen = classes[0].unionByName(classes[1]).withColumn("fold", F.pmod(F.xxhash64("id", F.lit(2)), F.lit(FOLDS)).cast("int"))
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
+    rows = rows.groupBy("id", "y", "fold").agg(F.min("text").alias("text"))  # however often an id comes, the sample has it once
     rows = written(rows.select("text", "y", "fold").repartition(2 * spark.sparkContext.defaultParallelism), "sample")
 
     def tally(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,7 +263,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
         for b in slices(batches):
             for text, y, fold in zip(*(c.to_pylist() for c in b.columns)):
                 cell = 2 * fold + y
-                found.update((g, cell) for g in {g for w in set(_WORD.findall((text or "").lower())) if len(w) <= 64 for g in grams(w)})
+                found.update((g, cell) for g in {g for w in set(_WORD.findall((text or "").lower())) for g in grams(w)})
         if found:
             yield pa.RecordBatch.from_arrays([pa.array([g for g, _ in found], pa.string()), pa.array([c for _, c in found], pa.int32()), pa.array(list(found.values()), pa.int64())], names=["gram", "cell", "n"])
 
@@ -315,8 +328,8 @@ def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """(doc_id, held_out, score, predicted) for each row of docs.
 
     Null, empty and wordless texts have a score like any other. Repeated rows give repeated rows; a null id is scored and not held out;
-    labels of unknown ids, null labels and repeated labels are fine; no labels at all give one half. An
-    empty table gives an empty one.
+    labels of unknown ids, null labels and repeated labels are fine; without usable labels every score is 0 and every
+    prediction 0. An empty table gives an empty one.
     """
     rows = docs.select(id_col, text_col)
     model = fit(rows, labels, id_col=id_col, text_col=text_col, **options)
@@ -325,6 +338,6 @@ def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of docs with a score below the threshold, with all their columns."""
+    """The rows of docs with a score below the threshold, with all their columns; all of them without usable labels."""
     model = fit(docs.select(id_col, text_col), labels, id_col=id_col, text_col=text_col, **options)
     return score(docs, model, id_col, text_col).where(F.col("score") < threshold).select("row.*")

@@ -6,11 +6,11 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from ..storage import FEW_PER_CORE, dropped, few_files, new_path, shared_dir, written
 
-__all__ = ["FEW_PER_CORE", "dropped", "few_files", "new_path", "shared_dir", "slices", "sorted_groups", "text_batches", "utf8", "written"]
+__all__ = ["FEW_PER_CORE", "dropped", "few_files", "free_name", "new_path", "shared_dir", "slices", "sorted_groups", "text_batches", "utf8", "written"]
 
 #: Rows of an Arrow batch that holds whole texts.
 TEXT_ROWS = 500
@@ -19,11 +19,23 @@ SLICE_ROWS = 64
 
 
 def text_batches(spark: SparkSession) -> None:
-    """Whole texts travel to Python in batches of few rows, so that a batch of long ones fits a worker."""
+    """Whole texts travel to Python in batches of few rows; Spark's bound in bytes on a batch holds beside it.
+
+    Frames are evaluated after this returns, so the session keeps the setting. A smaller one of the user stays.
+    """
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > TEXT_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_ROWS))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that df does not have."""
+    taken = {c.lower() for c in df.columns}
+    name = f"__{name}"
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, rows):

@@ -5,8 +5,9 @@ either label, which becomes its capacity from the source (content) or to the sin
 Neighbouring blocks, and blocks with one parent element, are joined by smoothness edges. The minimum cut of that
 graph, by maximum flow, separates content from boilerplate at the least total cost.
 
-Sibling blocks that no feature but their length tells apart are one node, so a page's graph has a node for
-each change of structure; a page of any length is one task's work, linear but for the flow.
+Each block is a node. A node whose terminal capacity exceeds all its edges is on that side of every minimum cut, so it is taken out first and
+its edges become capacities of its neighbours; the flow is sought in what is left. So a long page, which is one task's
+work, costs little more than reading it.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ from pyspark.sql import functions as F
 
 from .common import slices, text_batches
 
-#: Smoothness of neighbours with one parent, of other neighbours, and of blocks with one parent further apart.
-SAME_PARENT, NEIGHBOUR, SIBLING = 0.8, 0.15, 0.4
+#: Smoothness of neighbours with one parent that are both links or not, and alike or not; of other neighbours; and of blocks with one parent further apart.
+ALIKE, SAME_PARENT, NEIGHBOUR, SIBLING = 1.2, 0.8, 0.15, 0.4
 #: Units of a capacity.
 SCALE = 1000
 
@@ -223,6 +224,7 @@ def generated_page(rnd: random.Random) -> str:
             "ad": lambda: rnd.choice([f'<div class="ad">{text}</div>', f'<div id="sponsored"><p>{text}</p></div>', f'<p class="advert">{text}</p>']),
             "notice": lambda: rnd.choice([f'<div class="cookie-notice"><p>{text}</p></div>', f'<div class="alert notice">{text}</div>']),
             "share": lambda: f'<div class="share">{links(3)}</div>',
+            "call": lambda: f"<p><a href='/x'>{words(rnd.randint(1, 4), False)}</a></p>",
             "related": lambda: f'<div class="related-posts"><h3>{words(2, False)}</h3>{links(5)}</div>',
             "form": lambda: f"<form><label>{words(2, False)}</label><input><p>{text}</p><button>{words(1, False)}</button></form>",
             "hidden": lambda: f'<div style="display:none"><p>{text}</p></div>',
@@ -238,7 +240,7 @@ def generated_page(rnd: random.Random) -> str:
         n = rnd.choice([1, 2, 5, 12, 30, 70])
         content.append(rnd.choice([f"<p>{words(n, True)}</p>"] * 5 + [f"<h2>{words(min(n, 8), True)}</h2>", f"<ul><li>{words(n, True)}</li><li>{words(3, True)}</li></ul>", f"<blockquote>{words(n, True)}</blockquote>", f"<p><b>{words(n, True)}<br>", f"<pre>{words(n, True)}</pre>"]))
         if rnd.random() < 0.2:
-            content.append(noise(rnd.choice(["ad", "share", "notice", "form", "hidden", "aside", "nav", "related"])))
+            content.append(noise(rnd.choice(["ad", "share", "call", "call", "call", "notice", "form", "hidden", "aside", "nav", "related"])))
     if rnd.random() < 0.4:
         content.append(noise(rnd.choice(["comments", "footer", "aside"])))
     inner = "".join(content)
@@ -284,7 +286,41 @@ def trained(pages: int = 400, steps: int = 400, penalty: float = 0.002) -> tuple
 
 
 def source_side(n: int, to_source: list[int], to_sink: list[int], edges: list[tuple[int, int, int]]) -> list[bool]:
-    """The least set of nodes on the source's side of a minimum cut (Dinic's algorithm, whole capacities)."""
+    """The least set of nodes on the source's side of a minimum cut, with whole capacities.
+
+    A node that is drawn to the source by more than all its edges is in every such set, and one that is drawn to the sink by as
+    much as they hold is not in the least one. Those go first, one after the other, and the others by max_flow_side.
+    """
+    net = [a - b for a, b in zip(to_source, to_sink)]
+    near: list[dict[int, int]] = [{} for _ in range(n)]
+    for a, b, c in edges:
+        if a != b:
+            near[a][b] = near[a].get(b, 0) + c
+            near[b][a] = near[b].get(a, 0) + c
+    held = [sum(x.values()) for x in near]
+    side: list[bool | None] = [None] * n
+    queue = list(range(n))
+    while queue:
+        v = queue.pop()
+        if side[v] is not None or not (net[v] > held[v] or -net[v] >= held[v]):
+            continue
+        side[v] = net[v] > held[v]
+        for u, c in near[v].items():
+            if side[u] is None:
+                net[u] += c if side[v] else -c
+                held[u] -= c
+                queue.append(u)
+    left = [v for v in range(n) if side[v] is None]
+    if left:
+        number = {v: k for k, v in enumerate(left)}
+        among = [(number[v], number[u], c) for v in left for u, c in near[v].items() if u in number and v < u]
+        for v, x in zip(left, max_flow_side(len(left), [max(0, net[v]) for v in left], [max(0, -net[v]) for v in left], among)):
+            side[v] = x
+    return [bool(x) for x in side]
+
+
+def max_flow_side(n: int, to_source: list[int], to_sink: list[int], edges: list[tuple[int, int, int]]) -> list[bool]:
+    """The least set of nodes on the source's side of a minimum cut, by Dinic's maximum flow."""
     s, t = n, n + 1
     head: list[list[int]] = [[] for _ in range(n + 2)]
     to, cap = [], []
@@ -345,34 +381,22 @@ def source_side(n: int, to_source: list[int], to_sink: list[int], edges: list[tu
 
 def content_blocks(found: list[Block], weights: tuple[float, ...]) -> list[Block]:
     """The blocks on the content side of the page's minimum cut."""
-    node_of, of_group, source, sink, parents = [], {}, [], [], []
-    last = None
-    for b in found:
-        key = (b.parent, b.flags, b.tag, b.links >= 0.5)
-        v = of_group.get(key) if last == key or b.tag in ("p", "li") else None
-        if v is None:
-            v = of_group[key] = len(source)
-            source.append(0)
-            sink.append(0)
-            parents.append(b.parent)
-        cost = sum(w * x for w, x in zip(weights, features(b)))
-        units = int(SCALE * abs(cost) * (1 + math.log1p(b.chars) / 6))
-        if cost > 0:
-            source[v] += units
-        else:
-            sink[v] += units
-        node_of.append(v)
-        last = key
+    if not found:
+        return []
+    costs = np.array([features(b) for b in found]) @ np.array(weights)
+    units = (SCALE * np.abs(costs) * (1 + np.log1p([b.chars for b in found]) / 6)).astype(np.int64).tolist()
+    source, sink = [u if c > 0 else 0 for u, c in zip(units, costs)], [0 if c > 0 else u for u, c in zip(units, costs)]
     edges, seen = [], {}
-    for a, b in zip(node_of, node_of[1:]):
-        if a != b:
-            edges.append((a, b, int(SCALE * (SAME_PARENT if parents[a] == parents[b] else NEIGHBOUR))))
-    for v, parent in enumerate(parents):
-        if parent in seen and seen[parent] != v - 1:
-            edges.append((seen[parent], v, int(SCALE * SIBLING)))
-        seen[parent] = v
-    side = source_side(len(source), source, sink, edges)
-    return [b for b, v in zip(found, node_of) if side[v]]
+    for k, (a, b) in enumerate(zip(found, found[1:])):
+        near = a.parent == b.parent and (a.links >= 0.5) == (b.links >= 0.5)
+        alike = near and (a.flags, a.tag) == (b.flags, b.tag)
+        edges.append((k, k + 1, int(SCALE * (ALIKE if alike else SAME_PARENT if near else NEIGHBOUR))))
+    for k, b in enumerate(found):
+        if b.parent in seen and seen[b.parent] != k - 1:
+            edges.append((seen[b.parent], k, int(SCALE * SIBLING)))
+        seen[b.parent] = k
+    side = source_side(len(found), source, sink, edges)
+    return [b for b, v in zip(found, side) if v]
 
 
 def main_text(page: str | None, weights: tuple[float, ...] | None = None) -> str:

@@ -30,8 +30,9 @@ def test_cut_is_least():
 
         sides = list(product([False, True], repeat=n))
         least = min(map(cost, sides))
-        got = hc.source_side(n, s, t, edges)
-        assert cost(got) == least and sum(got) == min(sum(x) for x in sides if cost(x) == least)
+        for cut in (hc.source_side, hc.max_flow_side):
+            got = cut(n, s, t, edges)
+            assert cost(got) == least and sum(got) == min(sum(x) for x in sides if cost(x) == least)
 
 
 def test_long_page():
@@ -77,3 +78,8 @@ def test_query_against_plain_reading(spark):
         inner = re.search("<article>(.*?)</article>", pages[r.page_id], re.S)[1]
         parts = [" ".join(html.unescape(re.sub("<[^>]*>", " ", x)).split()) for x in re.split("</?(?:p|h1)>", inner)]
         assert r.text == "\n".join(p for p in parts if p) and r.n_chars == len(r.text)
+
+
+def test_block_between_paragraphs_can_go():
+    page = "<article><p>The first paragraph is a plain one, with a few words in it.</p><p><a href=/s>Share this</a></p><p>The second one is plain, too, and it has some more words.</p></article>"
+    assert hc.main_text(page).split("\n") == ["The first paragraph is a plain one, with a few words in it.", "The second one is plain, too, and it has some more words."]

@@ -126,8 +126,13 @@ class Bpe:
     def decoded(self, packed: bytes) -> bytes:
         return self.decode(np.frombuffer(packed, "<u4").tolist())
 
-    def decode(self, ids: Iterable[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+    def decode(self, ids: list[int]) -> bytes:
+        """The tokens' bytes, concatenated by neighbours up the tree from leaves of LEAF tokens."""
+        of, join = self.bytes_of.__getitem__, b"".join
+        level = [join(map(of, ids[i : i + LEAF])) for i in range(0, len(ids), LEAF)]
+        while len(level) > 1:
+            level = [join(level[i : i + 2]) for i in range(0, len(level), 2)]
+        return level[0] if level else b""
 
 
 class _Known(dict):

@@ -6,14 +6,17 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 from ..storage import FEW_PER_CORE, dropped, few_files, new_path, shared_dir, written
 
-__all__ = ["FEW_PER_CORE", "dropped", "few_files", "free_name", "new_path", "shared_dir", "slices", "sorted_groups", "text_batches", "utf8", "written"]
+__all__ = ["FEW_PER_CORE", "WordHashes", "dropped", "few_files", "free_name", "new_path", "shared_dir", "slices", "sorted_groups", "text_batches", "utf8", "written"]
 
 #: Rows of an Arrow batch that holds whole texts.
 TEXT_ROWS = 500
+#: Words that a worker remembers before it starts anew.
+REMEMBERED = 200_000
 #: Rows that are turned into Python objects at once.
 SLICE_ROWS = 64
 
@@ -42,6 +45,18 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
             yield batch.slice(at, rows)
 
 
+class WordHashes(dict):
+    """64-bit hashes of words, as bytes or text; those that are missing are made, and short ones remembered."""
+
+    def __missing__(self, word: bytes | str) -> int:
+        found = xxhash.xxh64_intdigest(word if isinstance(word, bytes) else word.encode("utf-8", "replace"))
+        if len(self) >= REMEMBERED:
+            self.clear()
+        if len(word) <= 64:
+            self[word] = found
+        return found
+
+
 def utf8(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "replace")
 

@@ -1,79 +1,134 @@
 """Benchmark decontamination: a broadcast hash set of the items' windows, scanned against every document.
 
 Item words are normalised and cut into windows of `size` words. Documents are scanned with a rolling hash over
-their word ids; positions whose hash is in the set are verified word by word. Words of verified windows are hit.
+their words' hashes; positions whose hash is in the set are verified word by word. Words of verified windows are hit.
 
-The set is broadcast under a checked bound of benchmark words. A larger benchmark is dealt by item into
-blocks under the bound, each scanned against all documents in turn, so every window meets every
-document at any size and the set in memory stays bounded.
+The set is flat arrays of about 30 bytes a word, broadcast under a checked bound of words. Long items are cut into pieces that
+overlap, so that no window is lost, and a larger benchmark is dealt by piece into blocks of about the bound, each scanned against all documents in
+turn: every window meets every document at any size, and the set in memory stays bounded.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import dropped, slices, text_batches, utf8, written
+from .common import FEW_PER_CORE, WordHashes, dropped, slices, text_batches, utf8, written
 
 WINDOW = 10
-#: Benchmark words that one broadcast set is made of.
-MAX_WORDS = 2_000_000
+#: Benchmark words that one broadcast set is made of: about 120 MB in each worker.
+MAX_WORDS = 4_000_000
+#: Windows of a piece of an item.
+PIECE = 10_000
 #: `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+` over UTF-8: digits, a-z and every byte of a non-ASCII character.
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
-_P = 0x9E3779B97F4A7C15
+_P = np.uint64(0x9E3779B97F4A7C15)
+#: Places of the table that tells words which no item has.
+_PLACES = 1 << 24
+_HASHES = WordHashes()
 
 
 def words(text: str | None) -> list[bytes]:
     return WORD.findall(utf8(text).lower())
 
 
+def _hashes(found: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(_HASHES.__getitem__, found), np.uint64, len(found))
+
+
+def _rolled(h: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the n words from each position on."""
+    out = np.zeros(len(at), np.uint64)
+    for k in range(n):
+        out = out * _P + h[at + k]
+    return out
+
+
 class WindowSet:
-    """The windows of some items: word ids, hashes by window length, and the items of each window."""
-
-    def __init__(self, items: Iterable[tuple[int, str | None]], size: int = WINDOW):
-        self.ids: dict[bytes, int] = {}
-        self.items: dict[tuple[int, ...], set[int]] = {}
-        for item, text in items:
-            w = [self.ids.setdefault(x, len(self.ids)) for x in words(text)]
-            for i in range(max(1, len(w) - size + 1) if w else 0):
-                self.items.setdefault(tuple(w[i : i + size]), set()).add(item)
-        self.hashes = {}
-        for n in {len(w) for w in self.items}:
-            rows = np.array([w for w in self.items if len(w) == n], np.int64)
-            rolled = np.zeros(len(rows), np.uint64)
-            for k in range(n):
-                rolled = rolled * np.uint64(_P) + (rows[:, k].astype(np.uint64) + np.uint64(1))
-            self.hashes[n] = np.unique(rolled)
+    """The windows of some pieces of items, by their number of words: sorted hashes with places and items, and the words in one string."""
+
+    def __init__(self, pieces: Iterable[tuple[int, bytes]], size: int = WINDOW):
+        said, lengths, hashes, owners, firsts, counts = [], [], [], [], [], []
+        total = 0
+        for item, text in pieces:
+            w = text.split(b" ") if text else []
+            said.append(b"".join(w))
+            lengths.append(np.fromiter(map(len, w), np.int32, len(w)))
+            hashes.append(_hashes(w))
+            owners.append(item)
+            firsts.append(total)
+            counts.append(len(w))
+            total += len(w)
+        self.said = b"".join(said)
+        self.ends = np.cumsum(np.concatenate([*lengths, np.zeros(0, np.int32)]), dtype=np.int64)
+        h = np.concatenate([*hashes, np.zeros(0, np.uint64)])
+        self.known = np.zeros(_PLACES if total else 1, bool)
+        self.known[h & np.uint64(len(self.known) - 1)] = True
+        self.by_length: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for n in sorted({min(c, size) for c in counts if c}):
+            own = [k for k, c in enumerate(counts) if min(c, size) == n]
+            of = [counts[k] - n + 1 for k in own]
+            places = np.concatenate([np.arange(firsts[k], firsts[k] + m, dtype=np.int32) for k, m in zip(own, of)])
+            items = np.repeat(np.array([owners[k] for k in own], np.int64), of)
+            rolled = _rolled(h, places, n)
+            order = np.argsort(rolled, kind="stable")
+            self.by_length[n] = rolled[order], places[order], items[order]
+
+    def words_at(self, place: int, n: int) -> tuple[bytes, list[int]]:
+        """n words in one string, and where they end in it."""
+        first = int(self.ends[place - 1]) if place else 0
+        ends = (self.ends[place : place + n] - first).tolist()
+        return self.said[first : first + ends[-1]], ends
 
     def scan(self, found: list[bytes]) -> tuple[np.ndarray, set[int]]:
         """Which words are inside an occurrence of a window, and the items that have one."""
         hit, items = np.zeros(len(found), bool), set()
-        ids = np.fromiter(map(self.ids.get, found, repeat(-1)), np.int64, len(found))
-        known = np.concatenate(([0], np.cumsum(ids >= 0)))
-        for n, hashes in self.hashes.items():
-            if len(ids) < n:
+        if not self.by_length or not found:
+            return hit, items
+        h = _hashes(found)
+        known = np.concatenate(([0], np.cumsum(self.known[h & np.uint64(len(self.known) - 1)])))
+        for n, (rolled, places, owners) in self.by_length.items():
+            if len(found) < n:
                 continue
             at = np.flatnonzero(known[n:] - known[:-n] == n)  # the others have words that no item has
             if not len(at):
                 continue
-            rolled = np.zeros(len(at), np.uint64)
-            for k in range(n):
-                rolled = rolled * np.uint64(_P) + (ids[at + k].astype(np.uint64) + np.uint64(1))
-            place = np.minimum(np.searchsorted(hashes, rolled), len(hashes) - 1)
-            for i in at[hashes[place] == rolled].tolist():
-                of = self.items.get(tuple(ids[i : i + n].tolist()))
-                if of:
+            own = _rolled(h, at, n)
+            first = np.searchsorted(rolled, own, "left")
+            met = np.flatnonzero(rolled[np.minimum(first, len(rolled) - 1)] == own)
+            last = np.searchsorted(rolled, own[met], "right")
+            for i, s, e in zip(at[met].tolist(), first[met].tolist(), last.tolist()):
+                text, ends = b"".join(found[i : i + n]), np.cumsum(list(map(len, found[i : i + n]))).tolist()
+                same = [k for k in range(s, e) if self.words_at(int(places[k]), n) == (text, ends)]
+                if same:
                     hit[i : i + n] = True
-                    items |= of
+                    items.update(owners[same].tolist())
         return hit, items
 
 
+def pieces(items: DataFrame, size: int = WINDOW) -> DataFrame:
+    """(item, piece, said, n): the words of items (item, item_text) in overlapping pieces, which have each window of the item once."""
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            out = []
+            for item, text in zip(*(c.to_pylist() for c in b.columns)):
+                w = words(text)
+                for k, at in enumerate(range(0, max(1, len(w) - size + 1) if w else 0, PIECE)):
+                    own = w[at : at + PIECE + size - 1]
+                    out.append((item, k, b" ".join(own), len(own)))
+            if out:
+                cols = zip(*out)
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary(), pa.int64()))], names=["item", "piece", "said", "n"])
+
+    return items.mapInArrow(cut, "item bigint, piece bigint, said binary, n bigint")
+
+
 def _scanned(rows: DataFrame, windows: WindowSet) -> DataFrame:
     """rows with the hits and items of earlier blocks and of this one."""
     shared = rows.sparkSession.sparkContext.broadcast(windows)
@@ -105,19 +160,20 @@ def scan(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, max_words: i
     """
     text_batches(docs.sparkSession)
     items = benchmark.select(F.coalesce(F.col(item_col).cast("bigint"), F.lit(-1)).alias("item"), F.col(item_text_col).alias("item_text"))
-    chars = items.agg(F.sum(F.length("item_text"))).first()[0] or 0
-    blocks = max(1, -(-chars // (2 * max_words)))  # a word and what ends it are two characters at least
+    said = written(pieces(items, size), "pieces", FEW_PER_CORE)
+    blocks = max(1, -(-(said.agg(F.sum("n")).first()[0] or 0) // max_words))
     names = [F.col(f"`{c}`") for c in docs.columns]
     empty = [F.lit(0).cast("bigint").alias("n_words"), F.array().cast("array<bigint>").alias("hits"), F.array().cast("array<bigint>").alias("items")]
     rows, before = docs.select(F.struct(*names).alias("row"), F.col(text_col).alias("text"), *empty), None
     for k in range(blocks):
-        own = items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k)
-        rows = _scanned(rows, WindowSet(((r["item"], r["item_text"]) for r in own.toLocalIterator()), size))
+        own = said.where(F.pmod(F.xxhash64("item", "piece"), F.lit(blocks)) == k)
+        rows = _scanned(rows, WindowSet(((r["item"], bytes(r["said"])) for r in own.toLocalIterator()), size))
         if k + 1 < blocks:
             rows = written(rows, "scanned")
             if before is not None:
                 dropped(before)
             before = rows
+    dropped(said)
     return rows.drop("text")
 
 

@@ -26,14 +26,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import FEW_PER_CORE, few_files, free_name, slices, text_batches, written
+from .common import FEW_PER_CORE, WordHashes, few_files, free_name, slices, text_batches, written
 
 #: Words of a run of repeated units that is removed, at least.
 MIN_WORDS = 20
 #: Words of a piece of a line, on average.
 PIECE = 8
-#: Words whose hashes a worker remembers before it starts anew.
-REMEMBERED = 200_000
 ENDS = {"line": re.compile(r"\n"), "paragraph": re.compile(r"\n[^\S\n]*\n\s*")}
 UNITS = ("piece", *ENDS)
 _WORD = re.compile(r"\S+")
@@ -41,19 +39,7 @@ _WORD = re.compile(r"\S+")
 _UNITS = "row_id bigint, doc_id bigint, unit bigint, start bigint, end bigint, n_words bigint, h1 bigint, h2 bigint"
 
 
-class _Hashes(dict):
-    """64-bit hashes of words; those that are missing are made."""
-
-    def __missing__(self, word: str) -> int:
-        found = xxhash.xxh64_intdigest(word.encode("utf-8", "replace"))
-        if len(self) >= REMEMBERED:
-            self.clear()
-        if len(word) <= 64:
-            self[word] = found
-        return found
-
-
-_HASHES = _Hashes()
+_HASHES = WordHashes()
 
 
 def pieces(text: str) -> list[tuple[int, int, str]]:

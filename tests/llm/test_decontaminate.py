@@ -49,6 +49,26 @@ def test_against_brute_force(spark, bound):
     assert [g for g in got if g[0] is None][0][1] == 30000
 
 
+def test_windows_of_pieces(spark, monkeypatch):
+    """A long item in small pieces has all its windows, and no others."""
+    monkeypatch.setattr(dc, "PIECE", 7)
+    rnd = random.Random(6)
+    long = [f"w{rnd.randrange(30)}" for _ in range(100)]
+    got = [(r.piece, bytes(r.said).split(b" ")) for r in dc.pieces(spark.createDataFrame([(1, " ".join(long)), (2, "a b"), (3, None)], "item bigint, item_text string"), 10).collect() if r.item == 1]
+    seen = [tuple(w[i : i + 10]) for _, w in sorted(got) for i in range(len(w) - 9)]
+    assert seen == [tuple(x.encode() for x in long[i : i + 10]) for i in range(91)]
+    whole = dc.WindowSet([(1, " ".join(long).encode())])
+    cut = dc.WindowSet([(1, b" ".join(w)) for _, w in got])
+    for _ in range(100):
+        i, j = rnd.randrange(95), rnd.randrange(95)
+        found = [x.encode() for x in (*long[i : i + 15], "x", *long[j : j + 11])]
+        a, b = whole.scan(found), cut.scan(found)
+        assert a[0].tolist() == b[0].tolist() and a[1] == b[1]
+    # neither the joint text nor the words' hashes alone make a hit
+    one = dc.WindowSet([(5, b"ab c")])
+    assert one.scan([b"a", b"bc"])[1] == set() and one.scan([b"ab", b"c"])[1] == {5}
+
+
 def test_empty_tables(spark):
     docs, bench = data()
     d, b = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(bench, "item_id bigint, text string")

@@ -7,8 +7,8 @@ import corpus_pipeline
 from pktloom.llm import bpe, toxicity
 
 from .test_decontaminate import slow as slow_scan
+from .test_nearcopies import slow_kept
 from .test_pii import slow as slow_spans
-from .test_simhash import slow_components, slow_fingerprint
 
 KINDS = ["EMAIL", "IP", "CARD", "PHONE"]
 
@@ -29,8 +29,8 @@ def test_run_against_brute_force(spark):
     model = toxicity.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))
     rejected = {r["row"].doc_id for r in toxicity.score(docs, model).where("score >= 0.5").collect()}
     texts = {r.doc_id: r.text for r in docs.collect() if r.doc_id not in rejected}
-    of = slow_components([(i, slow_fingerprint(texts[i])) for i in sorted(texts)])
-    kept = {i: t for i, t in texts.items() if of[i] == i and not slow_scan(t, bench)[4]}
+    # the stage links texts by their 5-word shingles, with a similarity of 0.8 or more
+    kept = {i: t for i, t in slow_kept(sorted(texts.items())) if not slow_scan(t, bench)[4]}
     ranks = bpe.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).ranks
     other = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     got = {r.doc_id: r for r in corpus_pipeline.run(spark, sf).collect()}

@@ -1,12 +1,21 @@
 """What a sliding window of packets says about a segment's endpoints, service, edge and surroundings.
 
 The window after packet k holds the last packet_limit packets that are no older than duration_ns. Arrival times do not decrease, so it is a range of
-idx, and its content up to a segment's last packet joins the segment by blocks of idx and entity.
+idx, and its content up to a segment's last packet is one, too.
+
+Packets and segments are dealt into blocks of idx, each with the packets that windows of its segments reach back to, so a packet is in two blocks
+and is shuffled twice, however many segments look at it. In a block, an entity's packets are sorted once: their number, bytes and last time
+in a window are differences of running sums, and its flows are the packets whose predecessor in their flow lies before the
+window. Only the busiest edges, which no running sum gives, look at a window's packets, as arrays in memory.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Sequence
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -16,92 +25,174 @@ from .ordering import first_at_or_after
 DURATION_NS = 300_000_000_000
 LIMIT = 2000
 TOP_EDGES = 5
+#: Packets of a block at least; windows that hold more make larger blocks.
+BLOCK = 1 << 14
 
+_STATE = [("packets", pa.int64()), ("bytes", pa.int64()), ("flows", pa.int64()), ("last_seen", pa.int64())]
+_STATE_SQL = "packets:bigint,bytes:bigint,flows:bigint,last_seen:bigint"
+_TYPES = {"endpoints": f"array<struct<{_STATE_SQL}>>", "service": f"struct<{_STATE_SQL}>", "edge": f"struct<{_STATE_SQL}>", "graph": f"array<struct<edge:string,{_STATE_SQL}>>"}
+PARTS = tuple(_TYPES)
 
-def window_bounds(segments: DataFrame, packets: DataFrame, duration_ns: int = DURATION_NS, limit: int = LIMIT) -> DataFrame:
-    """segments with lo and hi, the idx range of the window after packet emit_idx; written to the shared folder, as each state reads it."""
-    times = packets.select(F.col("idx").alias("emit_idx"), F.col("ts_ns").alias("__emit_ts"))
-    s = segments.join(times, "emit_idx").withColumn("__oldest", F.col("__emit_ts") - duration_ns)
-    s = first_at_or_after(s, "__oldest", packets, "ts_ns", "idx", "__young", duration_ns)
-    lo = F.greatest(F.col("emit_idx") - limit + 1, F.col("__young"), F.lit(0))
-    return written(s.withColumn("lo", lo).withColumn("hi", F.col("emit_idx")).drop("__oldest", "__emit_ts", "__young"), "bounded")
-
-
-def _flow(packets: DataFrame) -> Column:
-    return F.xxhash64(*C.canonical_key())
-
-
-def _blocks(limit: int) -> int:
-    """Packets of a block: a window spans few of them."""
-    return max(1, min(limit, 4096))
-
-
-def _in_window(bounded: DataFrame, of: list[Column], packets: DataFrame, entity: Column | None, limit: int, keep: list[str]) -> DataFrame:
-    """Pairs of segment and packet in its window up to its last packet's time, with equal entities where one is given."""
-    width = _blocks(limit)
-    blocks = F.explode(F.sequence(F.floor(F.col("lo") / width).cast("bigint"), F.floor(F.col("hi") / width).cast("bigint")))
-    s = bounded.select("start_idx", "lo", "hi", "last_ts", *of, blocks.alias("blk"))
-    p = packets.select(F.floor(F.col("idx") / width).cast("bigint").alias("blk"), F.col("idx").alias("p_idx"), F.col("ts_ns").alias("p_ts"), *([entity.alias("entity")] if entity is not None else []), *keep)
-    on = ["blk", *(["entity"] if entity is not None else [])]
-    return s.join(p, on).where((F.col("p_idx") >= F.col("lo")) & (F.col("p_idx") <= F.col("hi")) & (F.col("p_ts") <= F.col("last_ts")))
 
+def window_bounds(segments: DataFrame, packets: DataFrame, duration_ns: int = DURATION_NS, limit: int = LIMIT) -> DataFrame:
+    """segments with lo and hi, the idx range of the window after packet emit_idx; written to the shared folder, as states read it.
 
-def _state() -> list[Column]:
-    return [F.count("*").alias("packets"), F.sum(F.col("ip_len").cast("bigint")).alias("bytes"), F.count_distinct("flow").alias("flows"), F.max("p_ts").alias("last_seen")]
+    Bounds are found once for each emit_idx, on rows of two numbers.
+    """
+    times = packets.select(F.col("idx").alias("emit_idx"), (F.col("ts_ns") - duration_ns).alias("__oldest"))
+    after = segments.select("emit_idx").distinct().join(times, "emit_idx")
+    after = first_at_or_after(after, "__oldest", packets, "ts_ns", "idx", "__young", duration_ns)
+    lo = F.greatest(F.col("emit_idx") - limit + 1, F.col("__young"), F.lit(0))
+    return written(segments.join(after.select("emit_idx", lo.alias("lo"), F.col("emit_idx").alias("hi")), "emit_idx"), "bounded")
 
 
-def _whole(bounded: DataFrame, of: list[Column], states: DataFrame, on: list[str]) -> DataFrame:
-    """Each segment's entities with their states; one without packets in the window has zeros."""
-    out = bounded.select("start_idx", *of).join(states, ["start_idx", *on], "left")
-    return out.select("start_idx", *on, *[F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c) for c in ("packets", "bytes", "flows", "last_seen")])
+def _edge(src: str, dst: str) -> Column:
+    """An undirected pair of addresses as text, in text order, which is as good as any for equality."""
+    return F.concat_ws("|", F.least(src, dst), F.greatest(src, dst))
 
 
-def endpoint_state(bounded: DataFrame, packets: DataFrame, limit: int = LIMIT) -> DataFrame:
+def _codes(*columns: pa.ChunkedArray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Each column as places of its values in their sorted order, and those values."""
+    values, codes = np.unique(np.concatenate([c.to_numpy(zero_copy_only=False) for c in columns]), return_inverse=True)
+    ends = np.cumsum([len(c) for c in columns])
+    return np.split(codes, ends[:-1]), values
+
+
+class Block:
+    """The packets of a block in order, and the windows of its segments as ranges of their places."""
+
+    def __init__(self, packets: pa.Table, segments: pa.Table):
+        self.p, self.s = packets.sort_by("idx"), segments
+        of = lambda t, c: t.column(c).to_numpy(zero_copy_only=False)
+        idx, self.ts, self.size, flow = (of(self.p, c) for c in ("idx", "ts_ns", "ip_len", "flow"))
+        self.n = len(idx)
+        self.first = np.searchsorted(idx, of(segments, "lo"), "left")
+        end = np.minimum(np.searchsorted(idx, of(segments, "hi"), "right"), np.searchsorted(self.ts, of(segments, "last_ts"), "right"))
+        self.end = np.maximum(end, self.first)
+        order = np.lexsort((np.arange(self.n), flow))
+        again = np.flatnonzero(flow[order][1:] == flow[order][:-1])
+        self.before = np.full(self.n, -1)  # the place of the flow's packet before each
+        self.before[order[again + 1]] = order[again]
+
+    def _state(self, places: np.ndarray, codes: np.ndarray, wanted: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Four numbers for each wanted code: of the packets at `places`, those that have it and are in the window."""
+        order = np.lexsort((places, codes))
+        places, width = places[order], self.n + 1
+        key = codes[order] * width + places
+        s, e = np.searchsorted(key, wanted * width + first), np.searchsorted(key, wanted * width + end)
+        sums, before = np.concatenate(([0], np.cumsum(self.size[places], dtype=np.int64))), self.before[places]
+        out = np.zeros((len(wanted), 4), np.int64)
+        out[:, 0], out[:, 1] = e - s, sums[e] - sums[s]
+        out[:, 2] = [np.count_nonzero(before[i:j] < w) for i, j, w in zip(s.tolist(), e.tolist(), first.tolist())]
+        seen = e > s
+        out[seen, 3] = self.ts[places[e[seen] - 1]]
+        return out
+
+    def endpoints(self) -> pa.Array:
+        (src, dst, a, b), _ = _codes(*(self.p.column(c) for c in ("src_ip", "dst_ip")), *(self.s.column(c) for c in ("a_ip", "b_ip")))
+        other = np.flatnonzero(src != dst)  # a packet to itself counts once
+        places, codes = np.concatenate([np.arange(self.n), other]), np.concatenate([src, dst[other]])
+        both = [self._state(places, codes, x, self.first, self.end) for x in (a, b)]
+        rows = np.stack(both, axis=1).reshape(-1, 4)
+        return pa.ListArray.from_arrays(pa.array(np.arange(0, len(rows) + 1, 2, dtype=np.int32)), _structs(rows))
+
+    def service(self) -> pa.Array:
+        p, q = (t.column("protocol").to_numpy(zero_copy_only=False).astype(np.int64) for t in (self.p, self.s))
+        sp, dp, port = (x.to_numpy(zero_copy_only=False).astype(np.int64) for x in (self.p.column("src_port"), self.p.column("dst_port"), self.s.column("service_port")))
+        other = np.flatnonzero(sp != dp)
+        places, codes = np.concatenate([np.arange(self.n), other]), np.concatenate([p << 16 | sp, p[other] << 16 | dp[other]])
+        return _structs(self._state(places, codes, q << 16 | port, self.first, self.end))
+
+    def edge(self) -> pa.Array:
+        (own, wanted), _ = _codes(self.p.column("pair"), self.s.column("pair"))
+        return _structs(self._state(np.arange(self.n), own, wanted, self.first, self.end))
+
+    def graph(self, k: int = TOP_EDGES) -> pa.Array:
+        (codes,), names = _codes(self.p.column("pair"))
+        ends, found, rows = [0], [], []
+        for s, e in zip(self.first.tolist(), self.end.tolist()):
+            if e > s:
+                own = codes[s:e]
+                if len(names) > 4 * (e - s):
+                    named, own = np.unique(own, return_inverse=True)
+                else:
+                    named = None
+                packets = np.bincount(own)
+                last = np.zeros(len(packets), np.int64)
+                last[own] = np.arange(s, e)  # the last of equals stays
+                kth = np.partition(packets, -k)[-k] if len(packets) > k else 1
+                at = np.flatnonzero(packets >= max(1, kth))
+                size = np.bincount(own, self.size[s:e]).astype(np.int64)[at]
+                flows = np.bincount(own[self.before[s:e] < s], minlength=len(packets))[at]
+                seen = self.ts[last[at]]
+                best = np.lexsort((at, -flows, -seen, -size, -packets[at]))[:k]  # codes are in the order of names
+                rows.append(np.stack([packets[at], size, flows, seen], axis=1)[best])
+                found.append(at[best] if named is None else named[at[best]])
+            ends.append(ends[-1] + (len(found[-1]) if e > s else 0))
+        rows = np.concatenate(rows) if rows else np.zeros((0, 4), np.int64)
+        pairs = names[np.concatenate(found)].tolist() if found else []
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([pa.array(pairs, pa.string()), *_numbers(rows)], names=["edge", *(n for n, _ in _STATE)]))
+
+
+def _numbers(rows: np.ndarray) -> list[pa.Array]:
+    return [pa.array(rows[:, k].copy(), t) for k, (_, t) in enumerate(_STATE)]
+
+
+def _structs(rows: np.ndarray) -> pa.StructArray:
+    return pa.StructArray.from_arrays(_numbers(rows), names=[n for n, _ in _STATE])
+
+
+def states(bounded: DataFrame, packets: DataFrame, limit: int = LIMIT, of: Sequence[str] = PARTS, k: int = TOP_EDGES, block: int = BLOCK) -> DataFrame:
+    """(start_idx, *of): for each segment, what its window says of endpoints (two states), service, edge, and graph (up to k edges, busiest first).
+
+    A state has packets, bytes, flows and last_seen, and zeros for an entity without packets in the window. Edges are ranked by packets, bytes, last
+    seen and flows, all descending, then by name. A task holds the packets of a block and of the `limit` before it.
+    """
+    width = max(limit, block)
+    number = lambda x: F.floor(x / width).cast("bigint")
+    p = packets.select(
+        F.explode(F.sequence(number(F.col("idx")), number(F.col("idx") + limit - 1))).alias("blk"), "idx", "ts_ns", F.col("ip_len").cast("bigint").alias("ip_len"), "src_ip", "dst_ip",
+        "src_port", "dst_port", "protocol", _edge("src_ip", "dst_ip").alias("pair"), F.xxhash64(*C.canonical_key()).alias("flow"),
+    )
+    s = bounded.select(number(F.col("hi")).alias("blk"), "start_idx", "lo", "hi", "last_ts", "a_ip", "b_ip", "protocol", C.service_port("a_port", "b_port").alias("service_port"), _edge("a_ip", "b_ip").alias("pair"))
+
+    def look(p: pa.Table, s: pa.Table) -> pa.Table:
+        if not s.num_rows:
+            return pa.table({"start_idx": pa.array([], pa.int64())} | {c: pa.array([], empty[c]) for c in of})
+        b = Block(p, s)
+        return pa.table({"start_idx": s.column("start_idx")} | {c: b.graph(k) if c == "graph" else getattr(b, c)() for c in of})
+
+    state = pa.struct(_STATE)
+    empty = {"endpoints": pa.list_(state), "service": state, "edge": state, "graph": pa.list_(pa.struct([("edge", pa.string()), *_STATE]))}
+    schema = "start_idx bigint, " + ", ".join(f"{c} {_TYPES[c]}" for c in of)
+    return p.groupBy("blk").cogroup(s.groupBy("blk")).applyInArrow(look, schema)
+
+
+def endpoint_state(bounded: DataFrame, packets: DataFrame, limit: int = LIMIT, **options) -> DataFrame:
     """(start_idx, side, ip, packets, bytes, flows, last_seen) for both endpoints of each segment; a packet to itself counts once."""
-    p = packets.withColumn("flow", _flow(packets)).select("*", F.explode(F.array_distinct(F.array("src_ip", "dst_ip"))).alias("ip"))
-    of = [F.posexplode(F.array("a_ip", "b_ip")).alias("side", "entity")]
-    b = bounded.select("*", *of)
-    plain = [F.col("side"), F.col("entity")]
-    states = _in_window(b, plain, p, F.col("ip"), limit, ["ip_len", "flow"]).groupBy("start_idx", "side", "entity").agg(*_state())
-    return _whole(b, plain, states, ["side", "entity"]).withColumnRenamed("entity", "ip")
+    own = bounded.select("start_idx", F.array("a_ip", "b_ip").alias("ips")).join(states(bounded, packets, limit, ("endpoints",), **options), "start_idx")
+    return own.select("start_idx", "ips", F.posexplode("endpoints").alias("side", "s")).select("start_idx", "side", F.element_at("ips", F.col("side") + 1).alias("ip"), "s.*")
 
 
-def service_state(bounded: DataFrame, packets: DataFrame, limit: int = LIMIT) -> DataFrame:
+def service_state(bounded: DataFrame, packets: DataFrame, limit: int = LIMIT, **options) -> DataFrame:
     """The same for packets of the segment's protocol from or to its service port (each once)."""
-    p = packets.withColumn("flow", _flow(packets)).select("*", F.explode(F.array_distinct(F.array("src_port", "dst_port"))).alias("port"))
-    of = [C.service_bucket("protocol", C.service_port("a_port", "b_port")).alias("entity")]
-    states = _in_window(bounded, of, p, C.service_bucket("protocol", F.col("port")), limit, ["ip_len", "flow"]).groupBy("start_idx", "entity").agg(*_state())
-    return _whole(bounded, of, states, ["entity"]).withColumnRenamed("entity", "service_bucket")
-
-
-def _edge(src: str, dst: str) -> Column:
-    """An undirected pair of addresses as text, in text order, which is as good as any for equality."""
-    return F.concat_ws("|", F.least(src, dst), F.greatest(src, dst))
+    own = bounded.select("start_idx", C.service_bucket("protocol", C.service_port("a_port", "b_port")).alias("service_bucket"))
+    return own.join(states(bounded, packets, limit, ("service",), **options), "start_idx").select("start_idx", "service_bucket", "service.*")
 
 
-def edge_state(bounded: DataFrame, packets: DataFrame, limit: int = LIMIT) -> DataFrame:
+def edge_state(bounded: DataFrame, packets: DataFrame, limit: int = LIMIT, **options) -> DataFrame:
     """The same for packets between the segment's two addresses, in either direction."""
-    p = packets.withColumn("flow", _flow(packets))
-    of = [_edge("a_ip", "b_ip").alias("entity")]
-    states = _in_window(bounded, of, p, _edge("src_ip", "dst_ip"), limit, ["ip_len", "flow"]).groupBy("start_idx", "entity").agg(*_state())
-    return _whole(bounded, of, states, ["entity"]).drop("entity")
+    return states(bounded, packets, limit, ("edge",), **options).select("start_idx", "edge.*")
 
 
-def graph_top(bounded: DataFrame, packets: DataFrame, limit: int = LIMIT, k: int = TOP_EDGES) -> DataFrame:
+def graph_top(bounded: DataFrame, packets: DataFrame, limit: int = LIMIT, k: int = TOP_EDGES, **options) -> DataFrame:
     """The k busiest edges of each segment's window, ranked from 1 by packets, bytes, last seen and flows, all descending, then by name."""
-    p = packets.withColumn("flow", _flow(packets)).withColumn("edge", _edge("src_ip", "dst_ip"))
-    edges = _in_window(bounded, [], p, None, limit, ["ip_len", "flow", "edge"]).groupBy("start_idx", "edge").agg(*_state())
-    order = Window.partitionBy("start_idx").orderBy(F.desc("packets"), F.desc("bytes"), F.desc("last_seen"), F.desc("flows"), "edge")
-    return edges.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    rows = states(bounded, packets, limit, ("graph",), k, **options).select("start_idx", F.posexplode("graph").alias("rank", "s"))
+    return rows.select("start_idx", "s.*", (F.col("rank") + 1).alias("rank"))
 
 
 def with_context(segments: DataFrame, packets: DataFrame, duration_ns: int = DURATION_NS, limit: int = LIMIT) -> DataFrame:
     """segments with endpoints (two states), service, edge and graph (up to five states) as structs."""
     b = window_bounds(segments, packets, duration_ns, limit)
-    state = F.struct("packets", "bytes", "flows", "last_seen")
-    ends = endpoint_state(b, packets, limit).groupBy("start_idx").agg(F.transform(F.sort_array(F.collect_list(F.struct("side", state.alias("s")))), lambda x: x["s"]).alias("endpoints"))
-    service = service_state(b, packets, limit).select("start_idx", state.alias("service"))
-    edge = edge_state(b, packets, limit).select("start_idx", state.alias("edge"))
-    graph = graph_top(b, packets, limit).groupBy("start_idx").agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", state.alias("s")))), lambda x: x["s"]).alias("graph"))
-    ends, service, edge, graph = (written(t, "context") for t in (ends, service, edge, graph))
-    return b.drop("lo", "hi").join(ends, "start_idx").join(service, "start_idx").join(edge, "start_idx").join(graph, "start_idx", "left")
+    found = written(states(b, packets, limit), "context")
+    return b.drop("lo", "hi").join(found.withColumn("graph", F.transform("graph", lambda s: s.dropFields("edge"))), "start_idx")

@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..schema import CANONICAL, KEY
 from ..storage import written
-from .ordering import row_numbers, running_max
+from .ordering import first_at_or_after, row_numbers, running_max
 
 GAP_NS = 1_000_000
-#: Nanoseconds of the merged order that one task numbers.
-BLOCK_NS = 1_000_000_000
+#: Nanoseconds of the distinct keys that one task looks up, and rows of a stream that one numbers.
+BLOCK_NS, ORDER_BLOCK = 1_000_000_000, 1 << 16
 TIME_BINS = 30
 
 
@@ -96,12 +96,31 @@ def _merged(attack: DataFrame, a: Bounds, looped: DataFrame | None, keep: Column
     if looped is not None:
         ben = running_max(looped, "aligned_ns", "ord", "key").where(F.col("key") < a.latest).where(keep)
         both = both.unionByName(ben.select(F.lit(1).alias("is_benign"), "cycle", "ord", "idx", "key", F.col("aligned_ns").alias("at"), *others))
-    numbered = row_numbers(both, ["key", "is_benign", "ord"], F.floor(F.col("key") / block_ns).cast("bigint"), "seq")
+    numbered = _interleaved(both, block_ns)
     at = _floor_us(F.col("at"))
     first = both.agg(F.min_by("at", F.struct("key", "is_benign", "ord")).alias("first")).select(_floor_us(F.col("first")).alias("start"))
     return numbered.crossJoin(first).select("seq", "idx", "cycle", (F.col("is_benign") == 0).alias("is_attack"), at.alias("ts_ns"), (at - F.col("start")).alias("rel_ns"), *others)  # one row
 
 
+def _interleaved(both: DataFrame, block_ns: int) -> DataFrame:
+    """Rows of both streams with seq, their 0-based place by key, is_benign and ord.
+
+    A row's place is its own in its stream plus the number of rows of the other stream that go before it. The former is counted in blocks of the stream's
+    order, and the latter is looked up once for each distinct key, so that rows which share a running maximum, as all do after one late
+    clock, do not meet in one task.
+    """
+    numbered = row_numbers(both, ["ord"], F.struct("is_benign", F.floor(F.col("ord") / ORDER_BLOCK).cast("bigint").alias("block")), "__n")  # attack rows first
+    keys = written(numbered.groupBy("is_benign", "key").agg(F.min("__n").alias("n"), F.count("*").alias("rows")), "keys")
+    counts = keys.agg(F.coalesce(F.sum(F.when(F.col("is_benign") == 0, F.col("rows"))), F.lit(0)).alias("attacks"), F.sum("rows").alias("all"))  # one row
+    of = [keys.where(F.col("is_benign") == k).select("key", "n") for k in (0, 1)]
+    before_attack = first_at_or_after(of[0].select("key", F.col("key").alias("__at")), "__at", of[1], "key", "n", "place", block_ns).select(F.lit(0).alias("is_benign"), "key", "place")
+    before_benign = first_at_or_after(of[1].select("key", (F.col("key") + 1).alias("__at")), "__at", of[0], "key", "n", "place", block_ns).select(F.lit(1).alias("is_benign"), "key", "place")
+    # numbers of benign rows start at the number of attack rows
+    ahead = F.when(F.col("is_benign") == 0, F.coalesce("place", "all") - F.col("attacks")).otherwise(F.coalesce("place", "attacks") - F.col("attacks"))
+    places = before_attack.unionByName(before_benign).crossJoin(counts).select("is_benign", "key", ahead.alias("__ahead"))
+    return numbered.join(places, ["is_benign", "key"]).withColumn("seq", F.col("__n") + F.col("__ahead")).drop("__n", "__ahead")
+
+
 def _no_rows(attack: DataFrame) -> DataFrame:
     others = [c for c in attack.columns if c not in ("idx", "ts_ns")]
     zero = F.lit(0).cast("bigint")
@@ -133,33 +152,71 @@ def sampling_key(key: list[str], pkts: Column, attack: bool, seed: int, salt: st
     return -F.log(u) / F.greatest(weight(pkts, attack), F.lit(1e-12))
 
 
-def _greedy(flows: DataFrame, group: str, quota: int, total: int) -> DataFrame:
-    """Rows that fit, group by group in the order of their key: each within its group's quota and the total.
-
-    Rows stream through in order and a task holds one row's state, whatever the size of a group.
-    """
+def _walked(flows: DataFrame, group: str) -> DataFrame:
+    """Rows that fit, group by group in order: each within what its group has left (__left). A task holds one row's state."""
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, used, left = None, 0, total
+        own, used = None, 0
         for b in batches:
             keep = []
-            for g, p in zip(b.column(group).to_pylist(), b.column("pkts").to_pylist()):
+            for g, p, left in zip(*(b.column(c).to_pylist() for c in (group, "pkts", "__left"))):
                 if g != own:
                     own, used = g, 0
-                fits = used + p <= quota and p <= left
-                if fits:
-                    used, left = used + p, left - p
-                keep.append(fits)
+                keep.append(used + p <= left)
+                used += p if keep[-1] else 0
             yield b.filter(pa.array(keep, pa.bool_()))
 
     return flows.mapInArrow(scan, flows.schema)
 
 
+def _greedy(flows: DataFrame, group: str, order: list[str], quota: int) -> DataFrame:
+    """Rows that a greedy walk in order takes, in each group on its own: each row that fits into what is left of the quota.
+
+    Flows are dealt into blocks of the order. From the blocks' sums follows how many blocks of a group fit as a whole, which are
+    taken without a walk; the block after them is walked by one task; and flows larger than what is then left drop out of the blocks
+    after it, before their sums are taken again. The driver holds a row for each group and block.
+    """
+    spark = flows.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = written(flows.repartitionByRange(parts, group, *order).withColumn("__block", F.spark_partition_id()), "flows")
+    kind = table.schema[group].dataType.simpleString()
+    small = lambda rows, columns: F.broadcast(spark.createDataFrame(rows, f"{group} {kind}, {columns}"))
+    state = {r[0]: (0, quota) for r in table.select(group).distinct().collect()}  # next block, and what is left
+    whole, walked = [], []
+    while state:
+        open_ = table.join(small([(g, at, left) for g, (at, left) in state.items()], "__at int, __left bigint"), group).where("__block >= __at and pkts <= __left")
+        sums: dict = {}
+        for r in open_.groupBy(group, "__block").agg(F.sum("pkts").alias("n")).orderBy(group, "__block").collect():
+            sums.setdefault(r[0], []).append((r[1], r.n))
+        edge = []
+        for g, blocks in sums.items():
+            at, left = state[g]
+            rest = left
+            for block, n in blocks:
+                if n > rest:
+                    edge.append((g, block, left, rest))
+                    break
+                rest -= n
+            whole.append((g, at, edge[-1][1] if edge and edge[-1][0] == g else parts, left))
+        if not edge:
+            break
+        one = table.join(small([(g, block, rest) for g, block, _, rest in edge], "__at int, __left bigint"), group).where("__block = __at and pkts <= __left")
+        one = written(_walked(one.repartition(len(edge), group).sortWithinPartitions(group, *order), group).select(*flows.columns), "walked")
+        walked.append(one)
+        used = {r[0]: r.n for r in one.groupBy(group).agg(F.sum("pkts").alias("n")).collect()}
+        state = {g: (block + 1, rest - used.get(g, 0)) for g, block, _, rest in edge if rest > used.get(g, 0)}
+    out = table.join(small(whole, "__from int, __to int, __most bigint"), group).where("__block >= __from and __block < __to and pkts <= __most").select(*flows.columns)
+    for one in walked:
+        out = out.unionByName(one)
+    return out
+
+
 def select_by_budget(stats: DataFrame, key: list[str], min_ts: int, max_ts: int, budget: int, bins: int = TIME_BINS, attack: bool = False, seed: int = 0) -> DataFrame:
     """The flows of stats that a budget of packets takes.
 
     Each time bin takes flows in weighted random order while its share of the budget lasts, skipping those that do not fit;
-    what is left goes to the other flows in the same way. Bins are independent if the budget has a packet for each, else one task goes through all.
+    what is left goes to the other flows in the same way. Bins are independent if the budget has a packet for each; else a bin's share is one packet, and
+    the first bins that have a flow of one packet take one each.
     """
     if budget <= 0:
         return stats.where("false")
@@ -168,16 +225,18 @@ def select_by_budget(stats: DataFrame, key: list[str], min_ts: int, max_ts: int,
     quota = max(1, budget // bins)
     f = stats.withColumn("__bin", time_bin(F.col("first_ts"), min_ts, max_ts, bins)).withColumn("__key", sampling_key(key, pkts, attack, seed, "bin"))
     f = f.where(pkts <= quota)
-    dealt = f.repartition(bins, "__bin") if budget >= bins else f.coalesce(1)
-    first = _greedy(dealt.sortWithinPartitions("__bin", "__key", *key), "__bin", quota, budget).select(*stats.columns)
-    first = written(first, "chosen")
+    if budget >= bins:
+        first = _greedy(f, "__bin", ["__key", *key], quota)
+    else:
+        least = F.min(F.struct("__key", *key, F.struct(*[F.col(c) for c in stats.columns]).alias("row"))).alias("least")
+        first = f.groupBy("__bin").agg(least).orderBy("__bin").limit(budget).select("least.row.*")
+    first = written(first.select(*stats.columns), "chosen")
     left = budget - (first.agg(F.sum("pkts")).first()[0] or 0)
     if left <= 0:
         return first
     rest = stats.join(first.select(*key), key, "left_anti").where(pkts <= left)
     rest = rest.withColumn("__key", sampling_key(key, pkts, attack, seed, "rest")).withColumn("__bin", F.lit(0))
-    second = _greedy(rest.coalesce(1).sortWithinPartitions("__key", *key), "__bin", left, left).select(*stats.columns)
-    return first.unionByName(second)
+    return first.unionByName(_greedy(rest, "__bin", ["__key", *key], left).select(*stats.columns))
 
 
 def merge_by_budget(attack: DataFrame, benign: DataFrame, total: int, attack_ratio: float, bins: int = TIME_BINS, bidirectional: bool = False, seed: int = 0) -> DataFrame:

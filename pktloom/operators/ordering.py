@@ -49,10 +49,8 @@ def first_at_or_after(targets: DataFrame, target: str, points: DataFrame, at: st
     both = own.unionByName(p.select("__bucket", "__at", F.lit(1).alias("__point"), "__value", F.lit(None).cast(own.schema["__row"].dataType).alias("__row")))
     after = Window.partitionBy("__bucket").orderBy("__at", "__point").rowsBetween(0, Window.unboundedFollowing)
     both = both.withColumn("__own", F.min("__value").over(after)).where("__point = 0")
-    # one row for each bucket of time from here on
-    ends = firsts.select(F.lag("__bucket").over(Window.orderBy("__bucket")).alias("__from"), F.col("__bucket").alias("__to"), F.col("__first").alias("__later"))
-    every = ends.where("__from is not null").select(F.explode(F.sequence("__from", F.col("__to") - 1)).alias("__bucket"), "__later")
-    start = firsts.agg(F.min("__bucket").alias("__least"), F.min_by("__first", "__bucket").alias("__very_first"))
-    both = both.crossJoin(start)
-    out = both.join(every, "__bucket", "left")
-    return out.select("__row.*", F.coalesce("__own", "__later", F.when(F.col("__bucket") < F.col("__least"), F.col("__very_first"))).alias(name))
+    # one row for each bucket that has a point or a target from here on
+    every = firsts.unionByName(t.select("__bucket", F.lit(None).cast("bigint").alias("__first"))).groupBy("__bucket").agg(F.min("__first").alias("__first"))
+    later = F.min("__first").over(Window.orderBy("__bucket").rowsBetween(1, Window.unboundedFollowing))
+    out = both.join(every.select("__bucket", later.alias("__later")), "__bucket")
+    return out.select("__row.*", F.coalesce("__own", "__later").alias(name))

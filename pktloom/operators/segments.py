@@ -7,9 +7,12 @@ would close at check flush(j), which joins in by time; so a flow's segments foll
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +25,10 @@ CUTOFF = 20
 TIMEOUT_NS = 60_000_000_000
 INTERVAL = 256
 EMIT_BLOCK = 1 << 16
+#: Numbers of the arrival order in a block of a flow.
+BLOCK = 1 << 18
+#: An idx that no packet has.
+NEVER = (1 << 63) - 1
 
 
 def validate(cutoff: int, timeout_ns: int, interval: int, graph_tokens: int = 5) -> None:
@@ -49,11 +56,117 @@ def numbered(packets: DataFrame) -> DataFrame:
     return out.select(*packets.columns)
 
 
-def member_packets(packets: DataFrame, policy: str = "pretrain", cutoff: int = CUTOFF, timeout_ns: int = TIMEOUT_NS, interval: int = INTERVAL, keys: DataFrame | None = None) -> DataFrame:
+def _whole_groups(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Batches of whole groups of rows sorted by __key and __blk, with the number of each row's group."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if held is not None:
+            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        new = np.zeros(batch.num_rows, bool)
+        for c in ("__key", "__blk"):
+            x = batch.column(c)
+            new[1:] |= pc.not_equal(x.slice(1), x.slice(0, len(x) - 1)).to_numpy(zero_copy_only=False)
+        at = int(np.flatnonzero(new)[-1]) if new.any() else 0
+        if at:
+            yield batch.slice(0, at), np.cumsum(new[:at])
+        held = batch.slice(at)
+    if held is not None:
+        yield held, np.zeros(held.num_rows, np.int64)
+
+
+class _Steps:
+    """For each row, the place of the first row of the next segment of its group, if it were the first of one."""
+
+    def __init__(self, batch: pa.RecordBatch, group: np.ndarray, cutoff: int, block: int):
+        self.idx, blk = (batch.column(c).to_numpy() for c in ("__idx", "__blk"))
+        first = blk * block
+        self.due = pc.fill_null(batch.column("__flush"), NEVER).to_numpy()
+        here, width = group * (block + 1), block + 1
+        at = np.arange(len(group))
+        self.starts = np.flatnonzero(np.diff(group, prepend=-1))
+        self.end = np.repeat(np.append(self.starts[1:], len(group)), np.diff(np.append(self.starts, len(group))))
+        checked = np.searchsorted(here + self.idx - first, here + np.minimum(self.due - first, width - 1))
+        self.next = np.minimum(np.minimum(at + cutoff, np.maximum(checked, at + 1)), self.end)
+
+
+def _maps(dealt: DataFrame, cutoff: int, block: int) -> DataFrame:
+    """What each block of a flow makes of a segment that begins at one of its first packets: the state of the last segment in it.
+
+    A row for each block of a flow: its packets, its first `cutoff` idx, and for each of these the last segment's packets, check and start.
+    """
+
+    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, group in _whole_groups(batches):
+            s = _Steps(batch, group, cutoff, block)
+            sizes = s.end[s.starts] - s.starts
+            tries = np.minimum(sizes, cutoff)
+            ends = np.concatenate(([0], np.cumsum(tries)))
+            entry = np.arange(ends[-1]) - np.repeat(ends[:-1], tries) + np.repeat(s.starts, tries)
+            last, go = entry.copy(), np.arange(len(entry))
+            while len(go):
+                step = s.next[last[go]]
+                on = step < s.end[entry[go]]
+                last[go[on]] = step[on]
+                go = go[on]
+            offsets = pa.array(ends, pa.int32())
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(x, pa.int64())) for x in (s.idx[entry], s.end[entry] - last, s.due[last], s.idx[last])]
+            one = batch.take(pa.array(s.starts))
+            yield pa.RecordBatch.from_arrays([one.column("__key"), one.column("__blk"), pa.array(sizes, pa.int64()), *lists], names=["__key", "__blk", "m", "firsts", "n", "due", "start"])
+
+    return dealt.mapInArrow(scan, "__key string, __blk bigint, m bigint, firsts array<bigint>, n array<bigint>, due array<bigint>, start array<bigint>")
+
+
+def _entries(maps: DataFrame, cutoff: int) -> DataFrame:
+    """(__key, __blk, entry, open): how many packets of a block belong to the segment that is open before it, and that segment's start."""
+
+    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, n, due, start = None, cutoff, NEVER, -1
+        for batch in batches:
+            out = []
+            for k, m, firsts, ns, dues, starts in zip(*(batch.column(c).to_pylist() for c in ("__key", "m", "firsts", "n", "due", "start"))):
+                if k != key:
+                    key, n, due, start = k, cutoff, NEVER, -1
+                entry = min(bisect_left(firsts, due), cutoff - n)
+                out.append((entry, start))
+                if entry < m:
+                    n, due, start = ns[entry], dues[entry], starts[entry]
+                else:
+                    n += m
+            yield pa.RecordBatch.from_arrays([batch.column("__key"), batch.column("__blk"), *(pa.array([r[j] for r in out], pa.int64()) for j in (0, 1))], names=["__key", "__blk", "entry", "open"])
+
+    return maps.mapInArrow(scan, "__key string, __blk bigint, entry bigint, open bigint")
+
+
+def _starts(dealt: DataFrame, cutoff: int, block: int) -> DataFrame:
+    """(idx, flush, seg_start) of rows that know their block's entry."""
+
+    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, group in _whole_groups(batches):
+            s = _Steps(batch, group, cutoff, block)
+            begins = np.zeros(len(group), bool)
+            entry = s.starts + pc.fill_null(batch.column("entry"), 0).to_numpy()[s.starts]
+            at = entry[entry < s.end[s.starts]]
+            while len(at):
+                begins[at] = True
+                step = s.next[at]
+                at = step[step < s.end[at]]
+            last = np.maximum.accumulate(np.where(begins, np.arange(len(group)), -1))
+            before = last < s.starts[group - group[0]]  # of a segment that an earlier block began
+            start = np.where(before, pc.fill_null(batch.column("open"), -1).to_numpy(), s.idx[np.maximum(last, 0)])
+            yield pa.RecordBatch.from_arrays([batch.column("__idx"), batch.column("__flush"), pa.array(start, pa.int64())], names=["idx", "flush", "seg_start"])
+
+    return dealt.mapInArrow(scan, "idx bigint, flush bigint, seg_start bigint")
+
+
+def member_packets(packets: DataFrame, policy: str = "pretrain", cutoff: int = CUTOFF, timeout_ns: int = TIMEOUT_NS, interval: int = INTERVAL, keys: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
     """packets with their canonical key, seg_start (idx of their segment's first packet) and flush (null: never).
 
-    keys: flows that form segments, all if None. A flow's packets stream through one task in order, which holds one open
-    segment at a time, however many packets there are.
+    keys: flows that form segments, all if None. A flow is cut into blocks of `block` idx, so that no task sees a whole one. Since a segment holds at most `cutoff` packets,
+    the first one that begins in a block begins at one of its first packets; a block's outcome is found for each of these, the
+    outcomes are carried over a flow's blocks, one row each, and then each block marks its segments. All this sees three numbers a
+    packet, which join the packets by idx.
     """
     validate(cutoff, timeout_ns, interval)
     checks = check_table(packets, policy, interval)
@@ -61,29 +174,23 @@ def member_packets(packets: DataFrame, policy: str = "pretrain", cutoff: int = C
     own = [f"k_{n}" for n in CANONICAL]
     if keys is not None:
         p = p.join(keys.select(*[F.col(n).alias(f"k_{n}") for n in CANONICAL]), own, "left_semi")
-    p = p.withColumn("__due", F.col("ts_ns") + timeout_ns)
-    p = first_at_or_after(p, "__due", checks, "ts_ns", "idx", "flush", timeout_ns).drop("__due")
-    columns = p.columns
-    p = p.withColumn("seg_start", F.lit(None).cast("bigint"))
-    p = p.select("seg_start", F.concat_ws("|", *own).alias("__key"), F.col("idx").alias("__idx"), F.col("flush").alias("__flush"), F.struct(*columns).alias("__row"))
-
-    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, start, n, due = None, -1, 0, None
-        for b in batches:
-            starts = []
-            for k, i, flush in zip(*(b.column(c).to_pylist() for c in ("__key", "__idx", "__flush"))):
-                if k != key or n >= cutoff or due is not None and due <= i:
-                    key, start, n, due = k, i, 0, flush
-                n += 1
-                starts.append(start)
-            yield pa.RecordBatch.from_arrays([pa.array(starts, pa.int64()), *b.columns[1:]], names=b.schema.names)
-
+    order = p.select(F.concat_ws("|", *own).alias("__key"), F.floor(F.col("idx") / block).cast("bigint").alias("__blk"), F.col("idx").alias("__idx"), (F.col("ts_ns") + timeout_ns).alias("__due"))
+    order = first_at_or_after(order, "__due", checks, "ts_ns", "idx", "__flush", timeout_ns).drop("__due")
     parts = int(packets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = p.repartition(parts, "__key").sortWithinPartitions("__key", "__idx")
-    return dealt.mapInArrow(scan, p.schema).select("__row.*", "seg_start")
-
-
-def segments(packets: DataFrame, policy: str = "pretrain", cutoff: int = CUTOFF, timeout_ns: int = TIMEOUT_NS, interval: int = INTERVAL, keys: DataFrame | None = None, max_packets: int = 0, max_flows: int = 0) -> DataFrame:
+    dealt = lambda df: df.repartition(parts, "__key", "__blk").sortWithinPartitions("__key", "__blk", "__idx")
+    last = packets.agg(F.max("idx")).first()[0]
+    if last is not None and last >= block:
+        order = written(order, "order")
+        several = written(order.groupBy("__key").agg(F.min("__blk").alias("a"), F.max("__blk").alias("b")).where("a < b").select("__key"), "several")
+        maps = _maps(dealt(order.join(several, "__key", "left_semi")), cutoff, block)
+        carried = maps.repartition(parts, "__key").sortWithinPartitions("__key", "__blk")
+        order = order.join(written(_entries(carried, cutoff), "entries"), ["__key", "__blk"], "left")
+    else:  # each flow is in one block
+        order = order.withColumn("entry", F.lit(0).cast("bigint")).withColumn("open", F.lit(-1).cast("bigint"))
+    return p.join(_starts(dealt(order), cutoff, block), "idx")
+
+
+def segments(packets: DataFrame, policy: str = "pretrain", cutoff: int = CUTOFF, timeout_ns: int = TIMEOUT_NS, interval: int = INTERVAL, keys: DataFrame | None = None, max_packets: int = 0, max_flows: int = 0, block: int = BLOCK) -> DataFrame:
     """A row for each segment: key, start_idx, n, first_ts, last_ts, last_idx, reason, emit_idx, emit_seq, segment_id, any_label, packets.
 
     emit_idx is the packet after which the window describes the segment; emit_seq numbers segments as they are emitted (by
@@ -91,7 +198,7 @@ def segments(packets: DataFrame, policy: str = "pretrain", cutoff: int = CUTOFF,
     max_packets and max_flows limit the input and the output, 0 for none. Segments are written to the shared folder once, before they are numbered.
     """
     packets = packets.where(F.col("idx") < max_packets) if max_packets else packets
-    p = member_packets(packets, policy, cutoff, timeout_ns, interval, keys)
+    p = member_packets(packets, policy, cutoff, timeout_ns, interval, keys, block)
     own = [f"k_{n}" for n in CANONICAL]
     one = F.struct("idx", "ts_ns", "src_ip", "dst_ip", "src_port", "dst_port", "protocol", "packet_code", "ip_len", "label")
     s = p.groupBy(*own, "seg_start").agg(

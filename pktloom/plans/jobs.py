@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators import context, decode, flows, merge, rules, segments, stats, tokens
 from ..operators.ordering import row_numbers
+from ..schema import CANONICAL
 from ..sources import capture, sinks, text
 from ..sources.config import Config, load_config, load_stats_config
 from ..storage import dropped, written
@@ -174,10 +175,10 @@ def _schema(mode: str, cutoff: int, timeout_s: int, window_s: int, limit: int, d
     }
 
 
-def _totals(shards: list[dict]) -> dict[str, int]:
+def _totals(shards: list[dict], counts: str = "label_counts") -> dict[str, int]:
     out: dict[str, int] = {}
     for s in shards:
-        for k, n in s["label_counts"].items():
+        for k, n in s[counts].items():
             out[k] = out.get(k, 0) + n
     return out
 
@@ -190,13 +191,13 @@ def pretrain_cache(spark: SparkSession, data: str, out_dir: str, source_name: st
     shards = _cache(spark, packets, segs, out_dir, window_duration_s, window_packet_limit, shard_flows, 6, source_id=source_id)
     total = packets.count() if not max_packets else min(max_packets, packets.count())
     if max_flows and (last := segs.orderBy(F.desc("emit_seq")).select("reason", "emit_idx").first()):
-        stopped = sum(s["flows"] for s in shards) == max_flows
+        stopped = sum(_totals(shards).values()) == max_flows
         total = (last.emit_idx if last.reason == "cutoff" else last.emit_idx + 1) if stopped and last.reason != "end" else total
-    name = source_name or os.path.splitext(os.path.basename(data))[0]
-    n = sum(s["flows"] for s in shards)
+    name = source_name or os.path.splitext(os.path.basename(data.rstrip("/")))[0]
+    n = sum(_totals(shards).values())
     dims = {"packet_token": 16, "flow_token": 12, "endpoint_token": 12, "service_token": 10, "edge_token": 8, "graph_token": 16}
     metadata = {
-        "cache_schema_version": "flow_v2_cache.2", "data_path": data, "source_names": [name], "source_name_to_id": {name: source_id}, "source_flow_counts": {str(source_id): n},
+        "cache_schema_version": "flow_v2_cache.2", "data_path": data, "source_names": [name], "source_name_to_id": {name: source_id}, "source_flow_counts": _totals(shards, "source_counts"),
         "source_mode": "normal_only_data_file", "pretrain_data": data, "total_packets": total, "normal_packets": total, "attack_packets": 0, "event_count": n, "label_counts": _totals(shards),
         "shards": shards, "schema": _schema("oracle_normal_context", packet_cutoff, flow_timeout_s, window_duration_s, window_packet_limit, dims), "total_flows": n, "packet_cutoff": packet_cutoff,
         "graph_token_count": 5, "dims": dims, "normal_only": True, "max_events": max_flows or None, "timestamp_unit": "ns", "raw_timestamp_unit": timestamp_unit, "raw_field7_mode": field7_mode,
@@ -216,21 +217,23 @@ def finetune_cache(spark: SparkSession, data: str, labels: str, out_dir: str, so
     if label_policy not in ("segment_only", "flow_contaminated"):
         raise ValueError("label_policy must be segment_only or flow_contaminated")
     segments.validate(packet_cutoff, flow_timeout_s * 1_000_000_000, timeout_check_interval, graph_token_count)
-    packets = written(text.read_data(spark, data, labels, "finetune", timestamp_unit, field7_mode), "packets")
-    attacked = segments.attack_keys(packets)
-    keys = written(segments.selected_keys(packets, normal_flow_sample_size, seed), "keys") if attack_centered else None
-    segs = segments.segments(packets, "finetune", packet_cutoff, flow_timeout_s * 1_000_000_000, timeout_check_interval, keys=keys, max_packets=max_packets)
+    packets = text.read_data(spark, data, labels, "finetune", timestamp_unit, field7_mode)
+    packets = written(packets.where(F.col("idx") < max_packets) if max_packets else packets, "packets")
+    attacked = written(segments.attack_keys(packets), "attacked")
+    sample = written(segments.normal_sample(packets, normal_flow_sample_size, seed).select(*CANONICAL), "sample") if attack_centered else None
+    keys = attacked if sample is None else written(attacked.unionByName(sample).distinct(), "keys")
+    segs = segments.segments(packets, "finetune", packet_cutoff, flow_timeout_s * 1_000_000_000, timeout_check_interval, keys=keys if attack_centered else None)
     segs = segments.label_segments(segs, label_policy, attacked)
     shards = _cache(spark, packets, segs, out_dir, window_duration_s, window_packet_limit, shard_flows, 5, source_name=source_name)
-    used = packets.where(F.col("idx") < max_packets) if max_packets else packets
-    total, attack = used.agg(F.count("*"), F.count_if("label")).first()
-    n = sum(s["flows"] for s in shards)
+    total, attack = packets.agg(F.count("*"), F.count_if("label")).first()
+    n = sum(_totals(shards).values())
     dims = {"packet_tokens": 16, "flow_token": 12, "endpoint_token": 12, "service_token": 10, "edge_token": 8, "graph_token": 16}
     metadata = {
-        "cache_schema_version": "flow_v2_cache.2", "data_path": data, "label_path": labels, "source_names": [source_name], "source_mode": "data_label_pairs", "total_packets": total,
+        "cache_schema_version": "flow_v2_cache.2", "data_path": data, "label_path": labels, "source_names": [source_name], "source_mode": "data_label_pairs", "pretrain_data": None, "total_packets": total,
         "normal_packets": total - attack, "attack_packets": attack, "event_count": n, "label_counts": _totals(shards), "shards": shards,
         "schema": _schema("mixed_causal_context", packet_cutoff, flow_timeout_s, window_duration_s, window_packet_limit, dims), "total_flows": n, "packet_cutoff": packet_cutoff, "graph_token_count": 5,
-        "dims": dims, "normal_only": False, "attack_centered": attack_centered, "normal_flow_sample_size": normal_flow_sample_size, "seed": seed, "timestamp_unit": "ns", "raw_timestamp_unit": timestamp_unit,
+        "dims": dims, "normal_only": False, "max_events": None, "attack_flow_keys": attacked.count(), "sampled_normal_flow_keys": 0 if sample is None else sample.count(),
+        "selected_flow_keys": keys.count(), "attack_centered": attack_centered, "normal_flow_sample_size": normal_flow_sample_size, "seed": seed, "timestamp_unit": "ns", "raw_timestamp_unit": timestamp_unit,
         "raw_field7_mode": field7_mode, "timeout_policy": "segment_max_age", "time_feature_transform": "log1p_delta_ns", "packet_code_encoding": "packet_bits_v1",
         "derived_feature_set": "flow_v2_derived.2", "label_policy": label_policy, "segment_label_policy": "segment_max", "sampling_unit": "detection_event_segment", "cache_builder": "pktloom_finetune_cache",
         "metadata_fields": ["flow_key_hashes", "segment_ids", "cutoff_timestamp_ns", "segment_labels", "prefix_lens", "protocols", "dst_ports", "length_buckets", "service_buckets"],

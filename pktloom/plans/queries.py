@@ -11,6 +11,7 @@ from ..functions import columns as C
 from ..operators import context, decode, flows, merge, rules, segments, stats, tokens
 from ..schema import CANONICAL, KEY
 from ..sources import text
+from ..storage import new_path
 from . import view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +52,16 @@ def edge_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view.packets(spark, sf_dir).select("idx", *C.edge_key())
 
 
+@_query(f"SELECT {A_KEY}, 1::BIGINT AS hashes, 1::BIGINT AS salted, TRUE AS apart FROM keyed GROUP BY ALL")
+def flow_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hash is opaque: each flow has one, and another one under a source's name, and no two flows have the same."""
+    keyed = view.packets(spark, sf_dir).select(*C.canonical_key())
+    keyed = keyed.select(*CANONICAL, C.flow_hash(CANONICAL).alias("h"), C.flow_hash(CANONICAL, "source").alias("s"))
+    own = keyed.groupBy(*CANONICAL).agg(F.count_distinct("h").alias("hashes"), F.count_distinct("s").alias("salted"), F.min("h").alias("h"), F.min("s").alias("s"))
+    shared = own.select(F.explode(F.array("h", "s")).alias("h")).groupBy("h").agg(F.count("*").alias("n"))
+    return own.join(shared, "h").select(*CANONICAL, "hashes", "salted", ((F.col("n") == 1) & (F.col("h") != F.col("s"))).alias("apart"))
+
+
 _SP = "coalesce(least(nullif(src_port, 0), nullif(dst_port, 0)), 0)"
 
 
@@ -236,6 +247,22 @@ def frame_decode_udp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _decoded(spark, sf_dir, "mixed", C.UDP)
 
 
+def _six(c: str) -> str:
+    return f"'2001:db8::' || lower(to_hex({c} >> 16)) || ':' || lower(to_hex({c} & 65535))"
+
+
+@_query(f"SELECT idx, 6 AS ip_version, {_six('src_num')} AS src_ip, {_six('dst_num')} AS dst_ip, src_port, dst_port, protocol, packet_code + 1 AS packet_code, ip_len + 40 AS ip_len, ts_ns FROM packets")
+def frame_decode_ipv6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same packets over IPv6, with their addresses in the last four bytes."""
+    f = _frames(spark, sf_dir, "raw")
+    old = F.col("data")
+    address = lambda at: F.concat(F.unhex(F.lit("20010db80000000000000000")), F.substring(old, at, 4))
+    ip = F.concat(F.unhex(F.lit("60000000")), F.substring(old, 3, 2), F.substring(old, 10, 1), F.unhex(F.lit("40")), address(13), address(17), F.substring(old, F.lit(21), F.length(old)))
+    data = F.when(F.col("k") % 2 == 0, F.concat(F.unhex(F.lit("ffffffffffff02000000000186dd")), ip)).otherwise(ip)
+    d = decode.decode_frames(f.withColumn("data", data).withColumn("linktype", F.when(F.col("k") % 2 == 0, 1).otherwise(12)))
+    return d.select(F.col("frame_no").alias("idx"), "ip_version", "src_ip", "dst_ip", "src_port", "dst_port", "protocol", "packet_code", "ip_len", "ts_ns")
+
+
 @_query("SELECT idx FROM packets WHERE k % 2 = 0")
 def frame_decode_truncated(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = _frames(spark, sf_dir, "ethernet").withColumn("data", F.when(F.col("k") % 2 == 0, F.col("data")).otherwise(F.substring("data", F.lit(1), F.length("data") - 1 - (F.col("k") % 7).cast("int"))))
@@ -281,21 +308,16 @@ def parse_line_9col(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("line_no", "ip_version", "src_ip", "dst_ip", "src_port", "dst_port", "ts_ns", "protocol", "packet_code", "ip_len")
 
 
-@_query("SELECT idx AS line_no, label FROM packets WHERE idx < 700 AND k NOT IN (7, 8, 9, 10)")
-def data_label_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines with the first 700 labels of a label text that holds other characters, too."""
-    p = view.packets(spark, sf_dir)
-    said = p.where("idx < 700").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("idx", "label"))), lambda x: F.when(x["label"], "1\n").otherwise("0 ")), "").alias("content"))
-    labels = text.parse_labels(said.select(F.col("content").cast("binary").alias("content")))
-    return text.attach_labels(text.parse_lines(_lines(spark, sf_dir, 9), dialect="finetune"), labels).select("line_no", "label")
-
-
 @_query("SELECT idx AS line_no, label FROM packets WHERE idx < (SELECT max(idx) FROM packets) AND k NOT IN (7, 8, 9, 10)")
-def data_label_zip_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines with labels of all but the last, as rows: no label text is collected."""
+def data_label_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with the labels of all but the last, read back from a label text of many parts that holds other characters, too."""
     p = view.packets(spark, sf_dir)
-    labels = p.crossJoin(p.agg(F.max("idx").alias("last"))).where("idx < last").select(F.col("idx").alias("line_no"), "label")  # one row
-    return text.attach_labels(text.parse_lines(_lines(spark, sf_dir, 9), dialect="finetune"), labels).select("line_no", "label")
+    labels = p.crossJoin(p.agg(F.max("idx").alias("last"))).where("idx < last")  # one row
+    said = F.concat(F.when(F.col("label"), "1").otherwise("0"), F.when(F.col("k") % 3 == 0, " x").otherwise(""))
+    numbered = labels.select("idx", said.alias("value"))
+    path = new_path(spark, "labels")
+    numbered.repartitionByRange("idx").sortWithinPartitions("idx").select("value").write.text(path)
+    return text.attach_labels(text.parse_lines(_lines(spark, sf_dir, 9), dialect="finetune"), text.read_labels(spark, path)).select("line_no", "label")
 
 
 # labels
@@ -439,31 +461,26 @@ def flow_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _streams(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Attack packets, and one benign packet of four: the small job that the SQL below fixes."""
-    attack, benign = _all_streams(spark, sf_dir)
-    return attack, benign.where("idx % 4 = 0")
-
-
-def _all_streams(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Attack packets, and benign packets."""
     p = view.packets(spark, sf_dir)
     return p.where("user_id % 10 = 0"), p.where("user_id % 10 <> 0")
 
 
 _STREAMS_SQL = """atk AS (SELECT *, max(ts_ns) OVER (ORDER BY idx ROWS UNBOUNDED PRECEDING) AS key FROM keyed WHERE user_id % 10 = 0),
-b0 AS (SELECT * FROM keyed WHERE user_id % 10 <> 0 AND idx % 4 = 0),
+b0 AS (SELECT * FROM keyed WHERE user_id % 10 <> 0),
 facts AS (SELECT greatest(0, a0 - dur // 10) AS base, amax, b_first, dur, bmax FROM (SELECT arg_min(ts_ns, idx) AS a0, max(ts_ns) AS amax FROM atk),
     (SELECT arg_min(ts_ns, idx) AS b_first, greatest(0, arg_max(ts_ns, idx) - arg_min(ts_ns, idx)) AS dur, max(idx) AS bmax FROM b0)),
 looped AS (SELECT b0.*, cycle, cycle * (bmax + 1) + idx AS ord, base + greatest(0, ts_ns - b_first) + cycle * (dur + 1000000) AS aligned_ns FROM b0, facts,
     (SELECT unnest(range(0, (SELECT greatest(0, CAST(ceil((amax - base) / (dur + 1000000.0)) AS BIGINT)) + 1 FROM facts))) AS cycle)),
 ben AS (SELECT *, max(aligned_ns) OVER (ORDER BY ord ROWS UNBOUNDED PRECEDING) AS key FROM looped)"""
 
-_ALL_STREAMS_SQL = _STREAMS_SQL.replace(" AND idx % 4 = 0", "")
+_MERGED_CTES = """both_ AS (SELECT idx, 0 AS is_benign, 0 AS cycle, idx AS ord, key, ts_ns AS said, src_ip, ip_len, label FROM atk
+    UNION ALL SELECT idx, 1, cycle, ord, key, aligned_ns, src_ip, ip_len, label FROM ben WHERE key < (SELECT amax FROM facts)KEEP),
+merged AS (SELECT row_number() OVER (ORDER BY key, is_benign, ord) - 1 AS seq, idx, CAST(cycle AS BIGINT) AS cycle, is_benign = 0 AS is_attack, said - said % 1000 AS ts_ns, src_ip, ip_len, label FROM both_)"""
 
 
-def _merged_sql(keep: str = "TRUE", streams: str = _STREAMS_SQL) -> str:
-    return f"""{streams}, both_ AS (SELECT idx, 0 AS is_benign, 0 AS cycle, idx AS ord, key, ts_ns AS said, src_ip, ip_len, label FROM atk
-    UNION ALL SELECT idx, 1, cycle, ord, key, aligned_ns, src_ip, ip_len, label FROM ben WHERE key < (SELECT amax FROM facts) AND {keep}),
-merged AS (SELECT row_number() OVER (ORDER BY key, is_benign, ord) - 1 AS seq, idx, CAST(cycle AS BIGINT) AS cycle, is_benign = 0 AS is_attack, said - said % 1000 AS ts_ns, src_ip, ip_len, label FROM both_)"""
+def _merged_sql(keep: str = "TRUE") -> str:
+    return f"{_STREAMS_SQL}, " + _MERGED_CTES.replace("KEEP", f" AND {keep}")
 
 
 _MERGED_SELECT = "SELECT seq, idx, cycle, is_attack, ts_ns, ts_ns - (SELECT ts_ns FROM merged WHERE seq = 0) AS rel_ns, src_ip, ip_len FROM merged"
@@ -543,40 +560,66 @@ def budget_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select(*KEY, F.round(merge.weight(F.col("pkts"), True), 6).alias("attack_weight"), F.round(merge.weight(F.col("pkts"), False), 6).alias("benign_weight"))
 
 
-@_query()
-def budget_select(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A sequential greedy choice, which SQL does not say; tests hold it against a brute-force version."""
-    s, lo, hi = _stats_span(spark, sf_dir)
-    return merge.select_by_budget(s, KEY, lo, hi, 2000, attack=True, seed=1)
+_TOTAL, _RATIO, _BINS, _SEED = 1500, 0.4, merge.TIME_BINS, 1
 
 
-@_query()
-def budget_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _merged_columns(merge.merge_by_budget(*_streams(spark, sf_dir), total=1500, attack_ratio=0.4, seed=1))
+def _budget_sql(name: str, packets: str, budget: int, attack: bool) -> str:
+    """CTEs that end with {name}: the flows of a table of packets that a budget takes, by two greedy walks in order of the sampling keys."""
+    weight = "ln(pkts::DOUBLE + 1)" if attack else "1 / greatest(sqrt(pkts::DOUBLE), 1)"
+    key = lambda salt: "-ln((" + _H32.format(x=f"concat_ws('|', '{_SEED}|{salt}', {D_KEY})") + f" + 0.5) / 4294967296.0) / greatest({weight}, 1e-12)"
+    quota = max(1, budget // _BINS)
 
+    def walk(flows: str, out: str, per: str) -> str:
+        return f"""{out}_walk AS (SELECT bin, r, CASE WHEN pkts <= {per} THEN pkts ELSE 0 END AS used, pkts <= {per} AS fits FROM {flows} WHERE r = 1
+  UNION ALL SELECT o.bin, o.r, w.used + CASE WHEN w.used + o.pkts <= {per} THEN o.pkts ELSE 0 END, w.used + o.pkts <= {per} FROM {out}_walk w JOIN {flows} o ON o.bin = w.bin AND o.r = w.r + 1),
+{out} AS (SELECT f.* FROM {flows} f JOIN {out}_walk w ON w.bin = f.bin AND w.r = f.r WHERE w.fits)"""
 
-# merging, with every packet of both streams
+    return f"""{name}_flows AS (SELECT {D_KEY}, count(*) AS pkts, min(ts_ns) AS first_ts, max(ts_ns) AS last_ts FROM {packets} GROUP BY ALL),
+{name}_order AS (SELECT *, row_number() OVER (PARTITION BY bin ORDER BY o, {D_KEY}) AS r FROM (SELECT *, {key('bin')} AS o,
+  CAST(least(((first_ts - lo)::HUGEINT * {_BINS}) // greatest(hi - lo, 1), {_BINS - 1}) AS INTEGER) AS bin FROM {name}_flows, span) WHERE pkts <= {quota}),
+{walk(f'{name}_order', f'{name}_first', str(quota))},
+{name}_left AS (SELECT {budget} - coalesce(sum(pkts), 0) AS n FROM {name}_first),
+{name}_again AS (SELECT *, 0 AS bin, row_number() OVER (ORDER BY {key('rest')}, {D_KEY}) AS r FROM {name}_flows ANTI JOIN {name}_first USING ({D_KEY}) WHERE pkts <= (SELECT n FROM {name}_left)),
+{walk(f'{name}_again', f'{name}_second', f'(SELECT n FROM {name}_left)')},
+{name} AS (SELECT {D_KEY}, pkts, first_ts, last_ts FROM {name}_first UNION ALL SELECT {D_KEY}, pkts, first_ts, last_ts FROM {name}_second)"""
 
 
-@_query("SELECT idx, cycle, ord, aligned_ns FROM looped", _ALL_STREAMS_SQL)
-def benign_align_loop_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    attack, benign = _all_streams(spark, sf_dir)
-    return merge.align_and_loop(benign, merge.bounds(benign), merge.bounds(attack)).select("idx", "cycle", "ord", "aligned_ns")
+def _budget_query(sql: str, ctes: str) -> Callable[[Query], Query]:
+    def register(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        ORACLE_SQL[f.__name__] = f"WITH RECURSIVE {view.SQL}, {ctes} {sql}"
+        return f
 
+    return register
 
-@_query(_MERGED_SELECT, _merged_sql(streams=_ALL_STREAMS_SQL))
-def merge_ordered_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _merged_columns(merge.merge_ordered(*_all_streams(spark, sf_dir)))
 
+_ALL_SPAN_SQL = "span AS (SELECT min(ts_ns) AS lo, max(ts_ns) AS hi FROM keyed)"
 
-@_query(_MERGED_SELECT, _merged_sql(f"{_H32.format(x=_KEY_TEXT)} < CAST(floor(0.5 * 4294967296) AS BIGINT)", _ALL_STREAMS_SQL))
-def merged_dataset_rows_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _merged_columns(merge.merge_ordered(*_all_streams(spark, sf_dir), rate=0.5))
 
+@_budget_query(f"SELECT {D_KEY}, pkts, first_ts, last_ts FROM chosen", f"{_ALL_SPAN_SQL}, {_budget_sql('chosen', 'keyed', 2000, True)}")
+def budget_select(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s, lo, hi = _stats_span(spark, sf_dir)
+    return merge.select_by_budget(s, KEY, lo, hi, 2000, attack=True, seed=_SEED)
 
-@_query()
-def budget_merge_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _merged_columns(merge.merge_by_budget(*_all_streams(spark, sf_dir), total=1500, attack_ratio=0.4, seed=1))
+
+_N_ATTACK = int(_TOTAL * _RATIO)
+_BUDGET_MERGE_SQL = f"""{_ALL_SPAN_SQL}, a0 AS (SELECT * FROM keyed WHERE user_id % 10 = 0), b0 AS (SELECT * FROM keyed WHERE user_id % 10 <> 0),
+{_budget_sql('achosen', 'a0', _N_ATTACK, True)},
+{_budget_sql('bchosen', 'b0', _TOTAL - _N_ATTACK, False)},
+a1 AS (SELECT * FROM (SELECT a0.*, row_number() OVER (ORDER BY idx) AS r FROM a0 SEMI JOIN achosen USING ({D_KEY})) WHERE r <= {_N_ATTACK}),
+atk AS (SELECT *, max(ts_ns) OVER (ORDER BY idx ROWS UNBOUNDED PRECEDING) AS key FROM a1),
+facts AS (SELECT greatest(0, a_first - dur // 10) AS base, amax, b_first, dur, bmax FROM (SELECT arg_min(ts_ns, idx) AS a_first, max(ts_ns) AS amax FROM atk),
+    (SELECT arg_min(ts_ns, idx) AS b_first, greatest(0, arg_max(ts_ns, idx) - arg_min(ts_ns, idx)) AS dur, max(idx) AS bmax FROM b0)),
+looped AS (SELECT b.*, cycle, cycle * (bmax + 1) + idx AS ord, base + greatest(0, ts_ns - b_first) + cycle * (dur + 1000000) AS aligned_ns FROM (SELECT b0.* FROM b0 SEMI JOIN bchosen USING ({D_KEY})) b, facts,
+    (SELECT unnest(range(0, (SELECT greatest(0, CAST(ceil((amax - base) / (dur + 1000000.0)) AS BIGINT)) + 1 FROM facts))) AS cycle)),
+b1 AS (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY ord) AS r FROM looped) WHERE r <= {_TOTAL - _N_ATTACK}),
+ben AS (SELECT *, max(aligned_ns) OVER (ORDER BY ord ROWS UNBOUNDED PRECEDING) AS key FROM b1),
+{_MERGED_CTES.replace('KEEP', '')}"""
+
+
+@_budget_query(_MERGED_SELECT, _BUDGET_MERGE_SQL)
+def budget_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _merged_columns(merge.merge_by_budget(*_streams(spark, sf_dir), total=_TOTAL, attack_ratio=_RATIO, seed=_SEED))
 
 
 # segments
@@ -670,9 +713,31 @@ def shard_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segments.shard_counts(segments.label_segments(s, "segment_only"), 100)
 
 
+@_segment_query("finetune", f"SELECT {', '.join(_SEGMENT_COLUMNS)} FROM segs SEMI JOIN ak USING ({A_KEY})", _ATTACK_SQL)
+def segments_attack_centred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments of attacked flows only, with no normal sample beside them; checks still go by all packets."""
+    p = view.packets(spark, sf_dir)
+    return segments.segments(p, "finetune", _CUTOFF, _TIMEOUT, _INTERVAL, keys=segments.selected_keys(p, 0)).select(*_SEGMENT_COLUMNS)
+
+
+#: Packets that are read, and segments that are returned, where a job has such limits.
+_MAX_PACKETS, _MAX_FLOWS = 900, 120
+
+
+def segments_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _segments(spark, sf_dir, "pretrain", max_packets=_MAX_PACKETS, max_flows=_MAX_FLOWS)[0].select("emit_seq", *_SEGMENT_COLUMNS)
+
+
+QUERIES["segments_limits"] = segments_limits
+ORACLE_SQL["segments_limits"] = (
+    f"WITH RECURSIVE {view.SQL.replace('FROM events)', f'FROM events WHERE event_id < {_MAX_PACKETS})')}, {_segments_sql('pretrain').removeprefix('RECURSIVE_MARK ')} SELECT emit_seq, {', '.join(_SEGMENT_COLUMNS)} FROM segs WHERE emit_seq < {_MAX_FLOWS}"
+)
+
+
 # window context
 
-_DURATION, _LIMIT = 20_000_000_000, 100
+#: The defaults of the labelled cache.
+_DURATION, _LIMIT = context.DURATION_NS, 100_000
 
 _WINDOW_SQL = f"""young AS (SELECT s.start_idx, min(p.idx) AS y FROM segs s JOIN packets e ON e.idx = s.emit_idx JOIN packets p ON p.ts_ns >= e.ts_ns - {_DURATION} GROUP BY s.start_idx),
 bounded AS (SELECT s.*, greatest(emit_idx - {_LIMIT} + 1, y, 0) AS lo, emit_idx AS hi FROM segs s JOIN young USING (start_idx)),
@@ -754,6 +819,26 @@ def packet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _long(rows.where("slot < n"), F.col("row"), "start_idx", "slot")
 
 
+@_segment_query("finetune", f"SELECT start_idx, CAST(slot AS INTEGER) AS slot, CAST(slot < n AS INTEGER) AS mask FROM (SELECT start_idx, n, unnest(range({tokens.PACKETS})) AS slot FROM segs)")
+def packet_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s, _ = _segments(spark, sf_dir, "finetune")
+    return s.select("start_idx", F.posexplode(tokens.packet_masks()).alias("slot", "mask"))
+
+
+_PORT_OF = "coalesce(least(nullif(a_port, 0), nullif(b_port, 0)), 0)"
+
+
+@_segment_query(
+    "finetune",
+    f"""SELECT start_idx, CAST(n AS SMALLINT) AS prefix_lens, CAST(protocol AS SMALLINT) AS protocols, CAST({_PORT_OF} AS INTEGER) AS dst_ports, CAST(least(floor(log2(greatest(bytes, 1))), 16) AS SMALLINT) AS length_buckets,
+    CAST(protocol AS BIGINT) * 65536 + {_PORT_OF} AS service_buckets, last_ts AS cutoff_timestamp_ns, CAST(any_label AS INTEGER) AS segment_labels, CAST(segment_id AS INTEGER) AS segment_id FROM segs""",
+)
+def segment_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = tokens.encode(_contexted(spark, sf_dir), source_name="source")
+    starts = _segments(spark, sf_dir, "finetune")[0].select("emit_seq", "start_idx")
+    return e.join(starts, "emit_seq").select("start_idx", "prefix_lens", "protocols", "dst_ports", "length_buckets", "service_buckets", "cutoff_timestamp_ns", "segment_labels", "segment_id")
+
+
 _FLOW_AGG = f"""fa AS (SELECT s.start_idx, s.n, s.bytes, s.last_ts - s.first_ts AS dur, s.a_port, s.b_port, sum(x.protocol) / s.n AS proto, sum((x.packet_code >> 4) & 1) / s.n AS syn, sum((x.packet_code >> 5) & 1) / s.n AS ack,
     sum(greatest((x.packet_code >> 6) & 1, (x.packet_code >> 7) & 1)) / s.n AS fin, sum(x.iat)::DOUBLE / greatest(s.n - 1, 1) AS m, sum(CASE WHEN x.slot > 0 AND (x.src_ip = x.own) <> (x.before = x.own) THEN 1 ELSE 0 END) AS turns
     FROM segs s JOIN sp x ON x.start_idx = s.start_idx GROUP BY s.start_idx, s.n, s.bytes, s.last_ts, s.first_ts, s.a_port, s.b_port),

@@ -34,7 +34,7 @@ def emptied(path: str) -> None:
 
 
 def write_shards(encoded: DataFrame, path: str, shard_flows: int, digits: int = 6) -> list[dict]:
-    """NumPy shards of so many rows each under a folder that all executors share; returns their names and sizes.
+    """NumPy shards of so many rows each under a folder that all executors share; returns name, label_counts and, if rows have a source, source_counts of each.
 
     A shard's rows, which are bounded, are written by one task, whole and then renamed.
     """
@@ -54,11 +54,11 @@ def write_shards(encoded: DataFrame, path: str, shard_flows: int, digits: int =
         own = os.path.join(path, f".{name}.{os.getpid()}.npz")
         np.savez(own, **arrays)
         os.replace(own, os.path.join(path, name))
-        counts = json.dumps({str(k): int(n) for k, n in shard["labels"].value_counts().sort_index().items()})
-        return pd.DataFrame({"shard_id": [number], "file": [name], "flows": [len(shard)], "label_counts": [counts]})
+        counts = [json.dumps({str(k): int(n) for k, n in shard[c].value_counts().sort_index().items()}) if c in shard.columns else None for c in ("labels", "source_id")]
+        return pd.DataFrame({"shard_id": [number], "name": [name], "labels": counts[:1], "sources": counts[1:]})
 
-    out = rows.groupBy("shard_id").applyInPandas(write, "shard_id bigint, file string, flows bigint, label_counts string").orderBy("shard_id")
-    return [{"shard_id": r.shard_id, "file": r.file, "flows": r.flows, "label_counts": json.loads(r.label_counts)} for r in out.toLocalIterator()]
+    out = rows.groupBy("shard_id").applyInPandas(write, "shard_id bigint, name string, labels string, sources string").orderBy("shard_id")
+    return [{"name": r.name, "label_counts": json.loads(r.labels)} | ({"source_counts": json.loads(r.sources)} if r.sources else {}) for r in out.select("name", "labels", "sources").toLocalIterator()]
 
 
 def write_metadata(path: str, metadata: dict) -> None:

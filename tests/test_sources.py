@@ -99,6 +99,46 @@ def test_labels_in_ranges(spark, tmp_path):
     assert got == list(enumerate(c == "1" for c in said if c in "01"))
 
 
+def test_parts_in_name_order(spark, tmp_path):
+    """Uneven parts, the largest of them in the middle, read by many small ranges."""
+    line = lambda k: f"4 10.0.0.1 10.0.0.2 {1 + k} 80 {k} 6 18 60"
+    sizes, at = [2, 5, 0, 900, 1, 40], 0
+    for kind in ("d", "l"):
+        (tmp_path / kind).mkdir()
+        (tmp_path / kind / "_SUCCESS").write_text("1")
+        (tmp_path / kind / ".part-00000.crc").write_text("1")
+    for k, n in enumerate(sizes):
+        (tmp_path / f"d/part-{k:05}").write_text("".join(line(i) + "\n" for i in range(at, at + n)))
+        (tmp_path / f"l/part-{k:05}").write_text("".join(f"{i % 3 // 2}\n" for i in range(at, at + n)))
+        at += n
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        got = text.read_data(spark, f"{tmp_path}/d", f"{tmp_path}/l").orderBy("idx").collect()
+        assert [(r.idx, r.src_port, r.label) for r in got] == [(i, 1 + i, i % 3 == 2) for i in range(at)]
+        assert [r.line_no for r in text.read_labels(spark, f"{tmp_path}/l", 7).orderBy("line_no").collect()] == list(range(at))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+
+
+def test_process_feeds_both_caches(spark, tmp_path):
+    attack, benign = attack_and_benign()
+    (tmp_path / "raw.pcap").write_bytes(pcap(sorted(attack + benign, key=lambda r: r[0])))
+    (tmp_path / "neg").mkdir()
+    (tmp_path / "neg/1.pcap").write_bytes(pcap(benign))
+    rule = {"attackers": ["10.0.0.1"], "start_time": "1970-01-01 00:01:00", "end_time": "1970-01-01 01:00", "attack_type": "scan"}
+    g = {"mode": "rules", "output_dir": f"{tmp_path}/out", "raw_pcap": f"{tmp_path}/raw.pcap", "pretrain_neg_glob": f"{tmp_path}/neg", "neg_sampling_rate": 1.0, "write_mixed_pcap": False}
+    (tmp_path / "c.json").write_text(json.dumps({"global": g, "attacks": [{"name": "one", "rules": [rule]}]}))
+    rows = jobs.process(spark, str(tmp_path / "c.json"))["one"]["rows"]
+    back = text.read_data(spark, f"{tmp_path}/out/one.data", f"{tmp_path}/out/one.label", "finetune").orderBy("idx").collect()
+    assert len(back) == rows and back[0].ts_ns == 0 and sum(r.label for r in back) == 10
+    assert all(r.label == (r.src_ip == "10.0.0.1") for r in back) and [r.ts_ns for r in back] == sorted(r.ts_ns for r in back)
+    m = jobs.finetune_cache(spark, f"{tmp_path}/out/one.data", f"{tmp_path}/out/one.label", f"{tmp_path}/fine", "one")
+    assert (m["total_packets"], m["attack_packets"], m["attack_flow_keys"]) == (rows, 10, 1)
+    m = jobs.pretrain_cache(spark, f"{tmp_path}/out/pretrain_benign.data", f"{tmp_path}/pre")
+    assert m["total_packets"] == 40 and m["source_names"] == ["pretrain_benign"] and m["total_flows"] == 3
+
+
 def test_config(tmp_path):
     path = tmp_path / "c.json"
     path.write_text(json.dumps({"global": {"mode": "folder", "output_dir": "o", "neg_sampling_rate": 1}, "attacks": []}))
@@ -114,6 +154,16 @@ def test_golden_cache(spark, tmp_path):
     m = jobs.pretrain_cache(spark, f"{tmp_path}/family.data", f"{tmp_path}/out", "family_a", 7, packet_cutoff=1, timestamp_unit="us")
     z = dict(sinks.read_shard(f"{tmp_path}/out/shard_000000.npz"))
     assert m["total_flows"] == 2 and m["cache_schema_version"] == "flow_v2_cache.2" and m["label_policy"] == "segment_max" and m["raw_timestamp_unit"] == "us"
+    assert m["source_names"] == ["family_a"] and m["source_name_to_id"] == {"family_a": 7} and m["source_flow_counts"] == {"7": 2} and m["event_count"] == 2
+    assert m["label_counts"] == {"0": 2} and m["raw_field7_mode"] == "protocol" and m["pretrain_data"] == m["data_path"] == f"{tmp_path}/family.data" and m["max_events"] is None
+    assert m["shards"] == [{"name": "shard_000000.npz", "label_counts": {"0": 2}, "source_counts": {"7": 2}}] and (tmp_path / "out" / m["shards"][0]["name"]).exists()
+    dims = {"packet_token": 16, "flow_token": 12, "endpoint_token": 12, "service_token": 10, "edge_token": 8, "graph_token": 16}
+    same = {"packet_cutoff": 1, "graph_token_count": 5, "timestamp_unit": "ns", "timeout_policy": "segment_max_age", "time_feature_transform": "log1p_delta_ns", "derived_feature_set": "flow_v2_derived.2", "dims": dims}
+    assert same.items() <= m.items() and same.items() <= m["schema"].items()
+    own = {"version": "flow_v2.0", "context_mode": "oracle_normal_context", "flow_timeout_s": 60, "window_duration_s": 300, "window_packet_limit": 2000}
+    assert own.items() <= m["schema"].items() and set(m["schema"]) == {*same, *own, "packet_code_encoding"}
+    assert (m["source_mode"], m["normal_only"], m["total_packets"], m["normal_packets"], m["attack_packets"]) == ("normal_only_data_file", True, 2, 2, 0)
+    assert m["segment_label_policy"] == "segment_max" and m["sampling_unit"] == "detection_event_segment" and m["metadata_fields"][-1] == "source_ids"
     assert z["labels"].tolist() == [0, 0] and z["source_ids"].tolist() == [7, 7] and z["cutoff_timestamp_ns"].tolist() == [0, 1000]
     assert z["packet_tokens"].shape == (2, 20, 16) and z["endpoint_tokens"].shape == (2, 2, 12) and z["graph_tokens"].shape == (2, 5, 16) and z["packet_tokens"].dtype == np.float32
     assert z["dst_ports"].tolist() == [443, 443] and z["service_buckets"].tolist() == [393659] * 2 and z["length_buckets"].tolist() == [5, 5]
@@ -129,13 +179,21 @@ def test_finetune_cache(spark, tmp_path):
     (tmp_path / "d.label").write_text("".join("1" if i == 60 else "0" for i in range(90)))
     args = dict(data=f"{tmp_path}/d.data", labels=f"{tmp_path}/d.label", out_dir=f"{tmp_path}/o", source_name="s", timeout_check_interval=4, shard_flows=3)
     m = jobs.finetune_cache(spark, **args)
-    assert m["attack_packets"] == 1 and sum(m["label_counts"].values()) == m["total_flows"] == sum(s["flows"] for s in m["shards"]) and len(m["shards"]) > 1
+    assert m["attack_packets"] == 1 and sum(m["label_counts"].values()) == m["total_flows"] == m["event_count"] and len(m["shards"]) > 1
+    assert all(set(s) == {"name", "label_counts"} for s in m["shards"]) and sum(n for s in m["shards"] for n in s["label_counts"].values()) == m["total_flows"]
+    assert (m["attack_flow_keys"], m["sampled_normal_flow_keys"], m["selected_flow_keys"], m["max_events"], m["pretrain_data"]) == (1, 0, 1, None, None)
+    assert m["schema"]["context_mode"] == "mixed_causal_context" and m["dims"]["packet_tokens"] == 16 and m["source_mode"] == "data_label_pairs" and not m["normal_only"]
+    assert m["metadata_fields"][:2] == ["flow_key_hashes", "segment_ids"] and m["total_packets"] == 90 and m["normal_packets"] == 89 and m["source_names"] == ["s"]
     z = dict(sinks.read_shard(f"{tmp_path}/o/shard_00000.npz"))
     assert "segment_ids" in z and set(z["labels"]) == {0, 1}
     only = jobs.finetune_cache(spark, **args, label_policy="segment_only")
     assert only["label_counts"]["1"] == 1
     centred = jobs.finetune_cache(spark, **args, attack_centered=True, normal_flow_sample_size=0)
     assert centred["total_flows"] < m["total_flows"] and set(centred["label_counts"]) == {"1"}
+    two = jobs.finetune_cache(spark, **args, attack_centered=True, normal_flow_sample_size=1)
+    assert (two["attack_flow_keys"], two["sampled_normal_flow_keys"], two["selected_flow_keys"]) == (1, 1, 2)
+    first = jobs.finetune_cache(spark, **args, max_packets=50)
+    assert (first["total_packets"], first["attack_packets"], first["attack_flow_keys"]) == (50, 0, 0)
     for bad in ({"packet_cutoff": 5}, {"label_policy": "x"}, {"graph_token_count": 4}):
         with pytest.raises(ValueError):
             jobs.finetune_cache(spark, **args, **bad)

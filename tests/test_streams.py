@@ -145,7 +145,7 @@ def slow_budget(rows, lo, hi, budget, bins, attack, seed):
     return chosen
 
 
-@pytest.mark.parametrize("budget, bins", [(200, 8), (5, 8), (0, 8), (10000, 3), (60, 1)])
+@pytest.mark.parametrize("budget, bins", [(200, 8), (5, 8), (0, 8), (10000, 3), (60, 1), (3, 40), (333, 2)])
 def test_budget_against_greedy(spark, budget, bins):
     rnd = random.Random(budget)
     rows = [((f"10.0.0.{i}", "10.0.1.1", i, 80, 6), rnd.randrange(1, 30), rnd.randrange(1000)) for i in range(60)]
@@ -185,11 +185,12 @@ def slow_segments(rows, policy, cutoff, timeout, interval):
     return out
 
 
+@pytest.mark.parametrize("block", [1 << 18, 16, 5])
 @pytest.mark.parametrize("policy", ["pretrain", "finetune"])
 @pytest.mark.parametrize("seed, cutoff, timeout, interval", [(1, 5, 20 * S, 7), (2, 1, S, 1), (3, 20, 100 * S, 64), (4, 3, 5 * S, 3)])
-def test_segments_against_state_machine(spark, policy, seed, cutoff, timeout, interval):
+def test_segments_against_state_machine(spark, policy, seed, cutoff, timeout, interval, block):
     rows = random_rows(seed)
-    got = segments.segments(table(spark, rows), policy, cutoff, timeout, interval).orderBy("emit_seq").collect()
+    got = segments.segments(table(spark, rows), policy, cutoff, timeout, interval, block=block).orderBy("emit_seq").collect()
     assert [(r.start_idx, r.n, r.reason, r.emit_idx) for r in got] == slow_segments(rows, policy, cutoff, timeout, interval)
     by = {}
     for r in got:
@@ -197,6 +198,22 @@ def test_segments_against_state_machine(spark, policy, seed, cutoff, timeout, in
     assert all(v == list(range(len(v))) for v in by.values())
 
 
+def test_segments_of_a_hot_flow(spark):
+    """Four fifths of the packets are of one flow, in many blocks; no task of the flow's blocks has more than a block of rows."""
+    rnd = random.Random(9)
+    rows = [(1, 2, 1, 80, 6, t * S // 50, 60) if rnd.random() < 0.8 else (rnd.randrange(3, 9), 2, 1, 80, 6, t * S // 50, 60) for t in range(3000)]
+    got = segments.segments(table(spark, rows), "finetune", 7, 20 * S, 64, block=100).orderBy("emit_seq").collect()
+    assert [(r.start_idx, r.n, r.reason, r.emit_idx) for r in got] == slow_segments(rows, "finetune", 7, 20 * S, 64)
+
+
+def test_merge_after_a_late_clock(spark):
+    """One late clock makes all later rows of both streams share a running maximum."""
+    a = [(1, 2, 1, 80, 6, t * 1000, 60) for t in range(50)] + [(1, 2, 1, 80, 6, 4 * 10**9, 60)] + [(1, 2, 1, 80, 6, t * 1000, 60) for t in range(300)]
+    b = [(3, 4, 1, 80, 6, t * 700, 60) for t in range(100)] + [(3, 4, 1, 80, 6, 9 * 10**8, 60)] + [(3, 4, 1, 80, 6, t, 60) for t in range(200)] + [(3, 4, 1, 80, 6, 10**9, 60)]
+    got = merge.merge_ordered(table(spark, a), table(spark, b)).orderBy("seq").collect()
+    assert [(r.is_attack, r.idx, r.ts_ns) for r in got] == slow_merge([(i, r[5]) for i, r in enumerate(a)], [(i, r[5]) for i, r in enumerate(b)])
+
+
 def test_segment_options(spark):
     rows = [(1, 2, 5, 80, 6, t * 30 * S, 60, t == 3) for t in range(4)]
     p = table(spark, rows)
@@ -227,17 +244,17 @@ def state(rows, picked):
     return (len(picked), sum(rows[i][6] for i in picked), len({canon(rows[i]) for i in picked}), max((rows[i][5] for i in picked), default=0))
 
 
-@pytest.mark.parametrize("seed, duration, limit", [(1, 10 * S, 1000), (2, 1000 * S, 9), (3, 30 * S, 25)])
-def test_context_against_scan(spark, seed, duration, limit):
+@pytest.mark.parametrize("seed, duration, limit, block", [(1, 10 * S, 1000, 1), (2, 1000 * S, 9, 1), (3, 30 * S, 25, 40), (4, 1000 * S, 100_000, 1 << 14)])
+def test_context_against_scan(spark, seed, duration, limit, block):
     rows = random_rows(seed, 150)
     p = table(spark, rows)
     segs = segments.segments(p, "finetune", 4, 20 * S, 8)
     b = context.window_bounds(segs, p, duration, limit)
-    ends = {(r.start_idx, r.side): r for r in context.endpoint_state(b, p, limit).collect()}
-    service = {r.start_idx: r for r in context.service_state(b, p, limit).collect()}
-    edge = {r.start_idx: r for r in context.edge_state(b, p, limit).collect()}
+    ends = {(r.start_idx, r.side): r for r in context.endpoint_state(b, p, limit, block=block).collect()}
+    service = {r.start_idx: r for r in context.service_state(b, p, limit, block=block).collect()}
+    edge = {r.start_idx: r for r in context.edge_state(b, p, limit, block=block).collect()}
     top = {}
-    for r in context.graph_top(b, p, limit).orderBy("rank").collect():
+    for r in context.graph_top(b, p, limit, block=block).orderBy("rank").collect():
         top.setdefault(r.start_idx, []).append((r.packets, r.bytes, r.last_seen))
     values = lambda r: (r.packets, r.bytes, r.flows, r.last_seen)
     found = segs.collect()
@@ -293,6 +310,9 @@ def test_ordering(spark):
     got = {r.id: r.first for r in ordering.first_at_or_after(q, "target", p, "t", "v", "first", 97).collect()}
     assert got == {i: next((v for v, t in enumerate(points) if t >= x), None) for i, x in enumerate(targets)}
     assert {r.first for r in ordering.first_at_or_after(q, "target", p.where("false"), "t", "v", "first", 97).collect()} == {None}
+    # a gap of centuries is one step
+    far = spark.createDataFrame([(0, 5), (1, 10**18)], "v bigint, t bigint")
+    assert [r.first for r in ordering.first_at_or_after(q.where("target > 5"), "target", far, "t", "v", "first", 1).distinct().select("first").distinct().collect()] == [1]
     df = q.withColumnRenamed("id", "o")
     big, want = -(10**9), []
     for x in targets:

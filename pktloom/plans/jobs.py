@@ -70,11 +70,9 @@ def scenario(attack: DataFrame, benign: DataFrame, prefix: str, rate: float, mix
 
 
 def benign_source(spark: SparkSession, config: Config) -> DataFrame:
-    """The shared capture, which must exist, else the compacted folder."""
+    """The shared capture, or captures of a glob pattern, which must exist, else the compacted folder."""
     if config.shared_neg_pcap:
-        if not os.path.exists(config.shared_neg_pcap):
-            raise FileNotFoundError(config.shared_neg_pcap)
-        return read_frames(spark, [config.shared_neg_pcap])
+        return read_frames(spark, capture.pattern(config.shared_neg_pcap))
     if not config.neg_glob:
         raise ValueError("folder mode needs neg_glob or shared_neg_pcap")
     return compacted(spark, config.neg_glob)
@@ -82,7 +80,7 @@ def benign_source(spark: SparkSession, config: Config) -> DataFrame:
 
 def pretrain_source(spark: SparkSession, config: Config) -> DataFrame | None:
     if config.shared_pretrain_neg_pcap:
-        return read_frames(spark, [config.shared_pretrain_neg_pcap])
+        return read_frames(spark, capture.pattern(config.shared_pretrain_neg_pcap))
     return compacted(spark, config.pretrain_neg_glob) if config.pretrain_neg_glob else None
 
 
@@ -144,7 +142,7 @@ def dataset_statistics(spark: SparkSession, config_path: str, output: str) -> li
     """Statistics of each dataset, written as one JSON array."""
     out = []
     for d in load_stats_config(config_path):
-        captured = capture.read_captures(spark, [f for s in d.sources for f in capture.dispatch(s)]).persist()
+        captured = written(capture.read_captures(spark, [f for s in d.sources for f in capture.dispatch(s)]), "captured")
         total, unreadable = captured.agg(F.count("data"), F.count("error")).first()
         table = rules.load_rules(spark, rules.rules_file(d.rules) if d.rules else [], strict=False, offset_hours=d.timezone_offset)
         packets = rules.label_exists(decode.decode_frames(capture.frames(captured)), table)
@@ -152,7 +150,7 @@ def dataset_statistics(spark: SparkSession, config_path: str, output: str) -> li
         decoded = row["benign_packets"] + row["attack_packets"]
         row["skipped"] = total - decoded + unreadable
         out.append({k: [[x["key"], x["count"]] for x in v] if isinstance(v, list) else v for k, v in row.items()})
-        captured.unpersist()
+        dropped(captured)
     with open(output, "w") as f:
         json.dump(out, f, indent=2)
     return out

@@ -60,7 +60,7 @@ def frames_of(f: io.BufferedIOBase) -> Iterator[tuple[int, int, bytes]]:
     if len(head) < 12:
         raise ValueError("no capture header")
     if struct.unpack("<I", head[:4])[0] == MAGIC_NG:
-        yield from _pcapng(io.BytesIO(head + f.read()))
+        yield from _pcapng(head, f)
         return
     for order in "<>":
         magic = struct.unpack(order + "I", head[:4])[0]
@@ -79,16 +79,25 @@ def frames_of(f: io.BufferedIOBase) -> Iterator[tuple[int, int, bytes]]:
         yield sec * 1_000_000_000 + micros * 1000, link, data
 
 
-def _pcapng(f: io.BytesIO) -> Iterator[tuple[int, int, bytes]]:
-    order, links = "<", []
-    while len(head := f.read(8)) == 8:
-        kind = struct.unpack("<I", head[:4])[0]
-        if kind == MAGIC_NG:
-            order = "<" if f.getvalue()[f.tell() : f.tell() + 4] == b"\x4d\x3c\x2b\x1a" else ">"
-            links = []
+def _pcapng(first: bytes, f: io.BufferedIOBase) -> Iterator[tuple[int, int, bytes]]:
+    """The packets of a file whose first bytes are read already; one block is held at a time."""
+    order, links, ahead = "<", [], first
+
+    def take(n: int) -> bytes:
+        nonlocal ahead
+        part, ahead = ahead[:n], ahead[n:]
+        return part if len(part) == n else part + f.read(n - len(part))
+
+    while len(head := take(8)) == 8:
+        mark = b""
+        if struct.unpack("<I", head[:4])[0] == MAGIC_NG:
+            mark = take(4)
+            order, links = "<" if mark == b"\x4d\x3c\x2b\x1a" else ">", []
         kind, size = struct.unpack(order + "II", head)
-        body = f.read(size - 12)
-        if size < 12 or len(body) < size - 12 or len(f.read(4)) < 4:
+        if size < 12 + len(mark):
+            return
+        body = mark + take(size - 12 - len(mark))
+        if len(body) < size - 12 or len(take(4)) < 4:
             return
         if kind == 1:
             link, units, at = struct.unpack(order + "H", body[:2])[0], 1_000_000, 8

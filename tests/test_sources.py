@@ -41,6 +41,8 @@ def test_formats(order):
     for data in (pcap(rows, order), pcap(rows, order, nano=True), pcapng(rows, order)):
         assert list(capture.frames_of(io.BytesIO(data))) == [(t, 1, d) for t, d in rows]
         assert list(capture.frames_of(io.BytesIO(data[:-9])))[:2] == [(t, 1, d) for t, d in rows[:2]]
+        if data[:4] == b"\n\r\r\n":  # a file may have several sections
+            assert list(capture.frames_of(io.BytesIO(data + pcapng(rows, ">")))) == [(t, 1, d) for t, d in rows * 2]
     assert next(capture.frames_of(io.BytesIO(pcap(rows, order, link=101))))[1] == 12
     for bad in (b"", b"x" * 50):
         with pytest.raises(ValueError):
@@ -233,6 +235,9 @@ def test_process_by_folders(spark, tmp_path):
     assert got == {"a": {"packets": 10, "rows": 10}, "many": {"packets": 10, "rows": 10}}
     assert sum(len(f.read_text().splitlines()) for f in (tmp_path / "out/pretrain_benign.data").glob("part-*")) == 40
     assert not (tmp_path / "out/pretrain_benign.label").exists() and not (tmp_path / "out/a_mixed").exists()
+    (tmp_path / "c.json").write_text(json.dumps({"global": dict(g, neg_glob=None, shared_neg_pcap=f"{tmp_path}/neg/*.pcap", neg_sampling_rate=1.0, pretrain_neg_glob=None, output_dir=f"{tmp_path}/two"), "attacks": []}))
+    two = jobs.process(spark, str(tmp_path / "c.json"))
+    assert two["a"]["rows"] > 10 and two["a"]["rows"] == two["many"]["rows"]
     (tmp_path / "c.json").write_text(json.dumps({"global": dict(g, mode="other"), "attacks": []}))
     assert jobs.process(spark, str(tmp_path / "c.json")) == {}
     (tmp_path / "c.json").write_text(json.dumps({"global": dict(g, shared_neg_pcap="/none"), "attacks": []}))

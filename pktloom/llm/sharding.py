@@ -19,7 +19,7 @@ PARTS = 1024
 def shard_of(keys: Sequence[Column | str], weights: Sequence[float]) -> Column:
     """The shard of a record key: argmin over s of -ln(u(key, s)) / weights[s], u uniform in (0, 1).
 
-    Shard s gets weights[s] / sum(weights) of the keys. A shard of weight 0 gets none. Null keys are one key each.
+    Shard s gets weights[s] / sum(weights) of the keys. A shard of weight 0 gets none. Rows with a null key share one key.
     """
     if not weights or any(w < 0 for w in weights) or not any(weights):
         raise ValueError("weights must not be negative, and one must be positive")
@@ -60,7 +60,7 @@ def placement(docs: DataFrame, weights: Sequence[float], grown_weights: Sequence
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) for each row of docs.
 
     law is `key`: doc_id and the shards decide. size is the UTF-8 bytes of the text (null: none) plus 1. Texts are
-    reduced to size and checksum as they are read. Null ids are one key; repeated rows
+    reduced to size and checksum as they are read. Rows with a null id share one key; repeated rows
     share their shard and have slots of their own; an empty table gives an empty one.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))

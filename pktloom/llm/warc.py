@@ -232,9 +232,10 @@ def write_archives(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00
     groups = written(groups.select("digest", F.col("kept.page_id").alias("first_page"), F.col("kept.row_id").alias("first_row")), "payloads")
     rows = rows.join(groups, "digest", "left")
     again = F.col("first_row").isNotNull() & (F.col("first_row") != F.col("row_id"))
-    url = F.col("url")
+    encoded = F.col("url")
     for code in (*range(0x20), 0x7F):
-        url = F.replace(url, F.lit(chr(code)), F.lit(f"%{code:02X}")) if code in (9, 10, 13) else url
+        encoded = F.replace(encoded, F.lit(chr(code)), F.lit(f"%{code:02X}"))
+    url = F.when(F.col("url").rlike(r"[\x00-\x1f\x7f]"), encoded).otherwise(F.col("url"))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("n").cast("string"), F.lit(END * 2))
     block = F.when(again, http).otherwise(F.concat(http, F.col("html")))
     header = F.concat_ws(

@@ -1,6 +1,9 @@
+import math
 import zlib
 from collections import Counter
 
+import xxhash
+
 from pktloom.llm import sharding
 
 
@@ -30,6 +33,26 @@ def test_weights_and_moves(spark):
     assert all(fewer[r.id] == r.shard for r in shards.collect() if r.shard != 3)
 
 
+def slow_shard(key, weights):
+    """The least of -ln(u) / weight over the shards, each draw from the hash of the key's eight bytes and, after it, the shard's four."""
+    seed = xxhash.xxh64_intdigest(key.to_bytes(8, "little", signed=True), 42)
+    draws = []
+    for s, w in enumerate(weights):
+        u = ((xxhash.xxh64_intdigest(s.to_bytes(4, "little"), seed) >> 11) + 0.5) * 2.0**-53
+        draws.append((-math.log(u) / w, s))
+    return min(draws)[1]
+
+
+def test_query_against_plain_draws(spark):
+    from pktloom.llm.queries import QUERIES
+
+    got = QUERIES["op5_rendezvous_sharding"](spark, "/root/testdata/sf0.001").collect()
+    assert got and all((r.shard, r.grown_shard) == (slow_shard(r.doc_id, [1.0] * 16), slow_shard(r.doc_id, [1.0] * 17)) for r in got)
+    weights = [1.0, 2.5, 0.25, 4.0]
+    df = spark.range(-500, 500)
+    assert {r.id: r.shard for r in sharding.assign(df, ["id"], weights).collect()} == {i: slow_shard(i, weights) for i in range(-500, 500)}
+
+
 def test_query_is_whole_and_even(spark):
     from pktloom.llm.queries import QUERIES
 

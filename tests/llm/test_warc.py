@@ -12,7 +12,7 @@ LONG = "é<p>" * 50
 
 
 def pages(spark):
-    rows = [(5, "http://a/5", LONG), (2, "http://a/2", LONG), (2, "http://a/2", LONG), (9, None, None), (8, "u\r\nX: y", ""), (None, "n", LONG), (7, "s", "short"), (6, "s", "short"), (1, "big", "x" * 300000), (3, "tricky", "a\r\n\r\nWARC/1.1\r\n\r\n" * 20)]
+    rows = [(5, "http://a/5", LONG), (2, "http://a/2", LONG), (2, "http://a/2", LONG), (9, None, None), (8, "u\r\nX: y", ""), (4, "a\x01b\x7f", "x"), (None, "n", LONG), (7, "s", "short"), (6, "s", "short"), (1, "big", "x" * 300000), (3, "tricky", "a\r\n\r\nWARC/1.1\r\n\r\n" * 20)]
     return rows, spark.createDataFrame(rows, "page_id bigint, url string, html string").selectExpr("*", "1 AS digest", "2 AS row_id", "3 AS n")
 
 
@@ -24,6 +24,7 @@ def test_round_trip(spark):
     long = [(r.page_id, r.record_type, r.refers_to) for r in got if r.payload_bytes == len(LONG.encode())]
     assert sorted(long, key=str) == sorted([(2, "response", None), (2, "revisit", 2), (5, "revisit", 2), (None, "revisit", 2)], key=str)
     assert all(r.record_type == "response" for r in got if r.payload_bytes < 100)
+    assert {r.page_id: r.target_uri for r in got if r.page_id in (4, 8)} == {4: "a%01b%7F", 8: "u%0D%0AX: y"}
     assert warc.round_trip(df.where("false")).count() == 0
 
 

@@ -11,13 +11,15 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..schema import CANONICAL, KEY
-from ..storage import written
-from .ordering import first_at_or_after, row_numbers, running_max
+from ..storage import FEW_PER_CORE, written
+from .ordering import row_numbers, running_max
 
 GAP_NS = 1_000_000
-#: Nanoseconds of the distinct keys that one task looks up, and rows of a stream that one numbers.
+#: Nanoseconds of the distinct keys that one task sums, and rows of a stream that one numbers.
 BLOCK_NS, ORDER_BLOCK = 1_000_000_000, 1 << 16
 TIME_BINS = 30
+#: Flows that one task walks when a budget chooses among them.
+WALK_ROWS = 200_000
 
 
 def _floor_us(ts: Column) -> Column:
@@ -105,20 +107,21 @@ def _merged(attack: DataFrame, a: Bounds, looped: DataFrame | None, keep: Column
 def _interleaved(both: DataFrame, block_ns: int) -> DataFrame:
     """Rows of both streams with seq, their 0-based place by key, is_benign and ord.
 
-    A row's place is its own in its stream plus the number of rows of the other stream that go before it. The former is counted in blocks of the stream's
-    order, and the latter is looked up once for each distinct key, so that rows which share a running maximum, as all do after one late
-    clock, do not meet in one task.
+    A row's place is its own in its stream plus the number of rows of the other stream that go before it. The former is counted in blocks of the
+    stream's order, and the latter by running sums over distinct keys, so that rows which share a running maximum, as all do after one
+    late clock, do not meet in one task.
     """
-    numbered = row_numbers(both, ["ord"], F.struct("is_benign", F.floor(F.col("ord") / ORDER_BLOCK).cast("bigint").alias("block")), "__n")  # attack rows first
-    keys = written(numbered.groupBy("is_benign", "key").agg(F.min("__n").alias("n"), F.count("*").alias("rows")), "keys")
-    counts = keys.agg(F.coalesce(F.sum(F.when(F.col("is_benign") == 0, F.col("rows"))), F.lit(0)).alias("attacks"), F.sum("rows").alias("all"))  # one row
-    of = [keys.where(F.col("is_benign") == k).select("key", "n") for k in (0, 1)]
-    before_attack = first_at_or_after(of[0].select("key", F.col("key").alias("__at")), "__at", of[1], "key", "n", "place", block_ns).select(F.lit(0).alias("is_benign"), "key", "place")
-    before_benign = first_at_or_after(of[1].select("key", (F.col("key") + 1).alias("__at")), "__at", of[0], "key", "n", "place", block_ns).select(F.lit(1).alias("is_benign"), "key", "place")
-    # numbers of benign rows start at the number of attack rows
-    ahead = F.when(F.col("is_benign") == 0, F.coalesce("place", "all") - F.col("attacks")).otherwise(F.coalesce("place", "attacks") - F.col("attacks"))
-    places = before_attack.unionByName(before_benign).crossJoin(counts).select("is_benign", "key", ahead.alias("__ahead"))
-    return numbered.join(places, ["is_benign", "key"]).withColumn("seq", F.col("__n") + F.col("__ahead")).drop("__n", "__ahead")
+    numbered = row_numbers(both, ["ord"], F.floor(F.col("ord") / ORDER_BLOCK).cast("bigint"), "__n", ["is_benign"])
+    attack = F.count_if(F.col("is_benign") == 0)
+    keys = both.groupBy("key").agg(attack.alias("a"), (F.count("*") - attack).alias("b")).withColumn("__block", F.floor(F.col("key") / block_ns).cast("bigint"))
+    earlier = Window.orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)  # one row a block
+    blocks = keys.groupBy("__block").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    blocks = blocks.select("__block", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_outer") for c in "ab"])
+    inside = Window.partitionBy("__block").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
+    before = lambda c: F.col(f"{c}_outer") + F.coalesce(F.sum(c).over(inside), F.lit(0))
+    places = keys.join(blocks, "__block").select("key", (before("a") + F.col("a")).alias("__attacks"), before("b").alias("__benign"))
+    ahead = F.when(F.col("is_benign") == 0, F.col("__benign")).otherwise(F.col("__attacks"))  # attack rows go first on ties
+    return numbered.join(places, "key").withColumn("seq", F.col("__n") + ahead).drop("__n", "__attacks", "__benign")
 
 
 def _no_rows(attack: DataFrame) -> DataFrame:
@@ -169,16 +172,19 @@ def _walked(flows: DataFrame, group: str) -> DataFrame:
     return flows.mapInArrow(scan, flows.schema)
 
 
-def _greedy(flows: DataFrame, group: str, order: list[str], quota: int) -> DataFrame:
+def _greedy(flows: DataFrame, group: str, order: list[str], quota: int, rows: int = WALK_ROWS) -> DataFrame:
     """Rows that a greedy walk in order takes, in each group on its own: each row that fits into what is left of the quota.
 
-    Flows are dealt into blocks of the order. From the blocks' sums follows how many blocks of a group fit as a whole, which are
+    No more than `rows` flows are walked as they are. More are dealt into blocks of about so many in the order. From the blocks' sums follows how many blocks of a group fit as a whole, which are
     taken without a walk; the block after them is walked by one task; and flows larger than what is then left drop out of the blocks
     after it, before their sums are taken again. The driver holds a row for each group and block.
     """
     spark = flows.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = written(flows.repartitionByRange(parts, group, *order).withColumn("__block", F.spark_partition_id()), "flows")
+    table = written(flows, "flows", FEW_PER_CORE)
+    parts = -(-table.count() // rows)
+    if parts <= 1:
+        return _walked(table.withColumn("__left", F.lit(quota).cast("bigint")).repartition(group).sortWithinPartitions(group, *order), group).select(*flows.columns)
+    table = written(table.repartitionByRange(parts, group, *order).withColumn("__block", F.spark_partition_id()), "flows")
     kind = table.schema[group].dataType.simpleString()
     small = lambda rows, columns: F.broadcast(spark.createDataFrame(rows, f"{group} {kind}, {columns}"))
     state = {r[0]: (0, quota) for r in table.select(group).distinct().collect()}  # next block, and what is left
@@ -204,14 +210,14 @@ def _greedy(flows: DataFrame, group: str, order: list[str], quota: int) -> DataF
         one = written(_walked(one.repartition(len(edge), group).sortWithinPartitions(group, *order), group).select(*flows.columns), "walked")
         walked.append(one)
         used = {r[0]: r.n for r in one.groupBy(group).agg(F.sum("pkts").alias("n")).collect()}
-        state = {g: (block + 1, rest - used.get(g, 0)) for g, block, _, rest in edge if rest > used.get(g, 0)}
+        state = {g: (block + 1, rest - used.get(g, 0)) for g, block, _, rest in edge if block + 1 < parts and rest > used.get(g, 0)}
     out = table.join(small(whole, "__from int, __to int, __most bigint"), group).where("__block >= __from and __block < __to and pkts <= __most").select(*flows.columns)
     for one in walked:
         out = out.unionByName(one)
     return out
 
 
-def select_by_budget(stats: DataFrame, key: list[str], min_ts: int, max_ts: int, budget: int, bins: int = TIME_BINS, attack: bool = False, seed: int = 0) -> DataFrame:
+def select_by_budget(stats: DataFrame, key: list[str], min_ts: int, max_ts: int, budget: int, bins: int = TIME_BINS, attack: bool = False, seed: int = 0, walk_rows: int = WALK_ROWS) -> DataFrame:
     """The flows of stats that a budget of packets takes.
 
     Each time bin takes flows in weighted random order while its share of the budget lasts, skipping those that do not fit;
@@ -226,7 +232,7 @@ def select_by_budget(stats: DataFrame, key: list[str], min_ts: int, max_ts: int,
     f = stats.withColumn("__bin", time_bin(F.col("first_ts"), min_ts, max_ts, bins)).withColumn("__key", sampling_key(key, pkts, attack, seed, "bin"))
     f = f.where(pkts <= quota)
     if budget >= bins:
-        first = _greedy(f, "__bin", ["__key", *key], quota)
+        first = _greedy(f, "__bin", ["__key", *key], quota, walk_rows)
     else:
         least = F.min(F.struct("__key", *key, F.struct(*[F.col(c) for c in stats.columns]).alias("row"))).alias("least")
         first = f.groupBy("__bin").agg(least).orderBy("__bin").limit(budget).select("least.row.*")
@@ -236,7 +242,7 @@ def select_by_budget(stats: DataFrame, key: list[str], min_ts: int, max_ts: int,
         return first
     rest = stats.join(first.select(*key), key, "left_anti").where(pkts <= left)
     rest = rest.withColumn("__key", sampling_key(key, pkts, attack, seed, "rest")).withColumn("__bin", F.lit(0))
-    return first.unionByName(_greedy(rest, "__bin", ["__key", *key], left).select(*stats.columns))
+    return first.unionByName(_greedy(rest, "__bin", ["__key", *key], left, walk_rows).select(*stats.columns))
 
 
 def merge_by_budget(attack: DataFrame, benign: DataFrame, total: int, attack_ratio: float, bins: int = TIME_BINS, bidirectional: bool = False, seed: int = 0) -> DataFrame:
@@ -256,11 +262,13 @@ def merge_by_budget(attack: DataFrame, benign: DataFrame, total: int, attack_rat
         return keyed.join(flows.select(*[F.col(c).alias(f"__{c}") for c in key]), [f"__{c}" for c in key], "left_semi").select(*packets.columns)
 
     atk = chosen(attack, n_attack, True)
-    atk = row_numbers(atk, ["idx"], F.floor(F.col("idx") / (1 << 16)).cast("bigint"), "__n").where(F.col("__n") < n_attack).drop("__n")
+    atk = row_numbers(atk, ["idx"], F.floor(F.col("idx") / ORDER_BLOCK).cast("bigint"), "__n").where(F.col("__n") < n_attack).drop("__n")
+    atk = written(atk, "attack", FEW_PER_CORE)  # no more than the budget, and read several times
     a, b = bounds(atk), bounds(benign)
     if a is None or b is None:
         return merge_ordered(atk, benign.where("false"))
     ben = chosen(benign, total - n_attack, False)
     looped = align_and_loop(ben, b, a)
-    looped = row_numbers(looped, ["ord"], F.floor(F.col("ord") / (1 << 16)).cast("bigint"), "__n").where(F.col("__n") < total - n_attack).drop("__n")
+    looped = row_numbers(looped, ["ord"], F.floor(F.col("ord") / ORDER_BLOCK).cast("bigint"), "__n").where(F.col("__n") < total - n_attack).drop("__n")
+    looped = written(looped, "benign", FEW_PER_CORE)
     return _merged(atk, a, looped, F.lit(True), BLOCK_NS)

@@ -145,13 +145,13 @@ def slow_budget(rows, lo, hi, budget, bins, attack, seed):
     return chosen
 
 
-@pytest.mark.parametrize("budget, bins", [(200, 8), (5, 8), (0, 8), (10000, 3), (60, 1), (3, 40), (333, 2)])
-def test_budget_against_greedy(spark, budget, bins):
+@pytest.mark.parametrize("budget, bins, walk_rows", [(200, 8, 200_000), (200, 8, 9), (5, 8, 9), (0, 8, 9), (10000, 3, 9), (60, 1, 4), (3, 40, 9), (333, 2, 200_000)])
+def test_budget_against_greedy(spark, budget, bins, walk_rows):
     rnd = random.Random(budget)
     rows = [((f"10.0.0.{i}", "10.0.1.1", i, 80, 6), rnd.randrange(1, 30), rnd.randrange(1000)) for i in range(60)]
     df = spark.createDataFrame([(*k, n, t, t) for k, n, t in rows], "src_ip string, dst_ip string, src_port int, dst_port int, protocol int, pkts bigint, first_ts bigint, last_ts bigint")
     for attack in (True, False):
-        got = {tuple(r[c] for c in KEY) for r in merge.select_by_budget(df, KEY, 0, 1000, budget, bins, attack, 3).collect()}
+        got = {tuple(r[c] for c in KEY) for r in merge.select_by_budget(df, KEY, 0, 1000, budget, bins, attack, 3, walk_rows).collect()}
         assert got == slow_budget(rows, 0, 1000, budget, bins, attack, 3)
 
 

@@ -36,12 +36,12 @@ def test_sessions(spark, tmp_path):
 
 def flow_number(spark, tmp_path, retention):
     """Sessions of one flow, of which the watermark closes the first before the second comes."""
-    early = [(1, 2, 5, 80, 6, 0, 60), (3, 4, 1, 1, 6, 1000 * S, 60)]
+    early = [(1, 2, 5, 80, 6, 0, 60), (3, 4, 1, 1, 6, 1000 * S, 60), (3, 4, 1, 1, 6, 2000 * S, 60)]
     later = [(1, 2, 5, 80, 6, 5000 * S, 60), (3, 4, 1, 1, 6, 6000 * S, 60), (3, 4, 1, 1, 6, 9000 * S, 60)]
     df = table(spark, [(*r[:5], r[5] + HOUR, *r[6:]) for r in early + later]).drop("src_sort", "dst_sort")
     from pktloom.functions import columns as C
 
-    for k, part in enumerate((df.where("idx < 2"), df.where("idx = 2"), df.where("idx > 2"))):
+    for k, part in enumerate((df.where("idx < 2"), df.where("idx = 2"), df.where("idx = 3"), df.where("idx > 3"))):
         part.coalesce(1).write.mode("overwrite").parquet(f"{tmp_path}/new")
         (tmp_path / "in").mkdir(exist_ok=True)
         next((tmp_path / "new").glob("*.parquet")).rename(tmp_path / f"in/{k}.parquet")

@@ -117,7 +117,7 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
         token = token.strip(_EDGE)
         if token and (kind := shape(token)) is not None:
             found.append((start, start + len(token), kind))
-    for m in _GROUPED.finditer(text):
+    for m in _GROUPED.finditer(text) if found or _DIGIT.search(text) else ():
         if not (m.start() and (text[m.start() - 1].isalnum() or text[m.start() - 1] in "+.")) and shape(m.group()) == 3:
             found.append((*m.span(), 3))
     last = 0

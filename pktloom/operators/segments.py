@@ -1,6 +1,6 @@
 """Flow segments: bounded stretches of an undirected flow, as a sequential pass would close them.
 
-Packets are numbered 0..N-1 in arrival order (idx) and their times do not decrease. A segment closes with its packet_cutoff-th packet, at the
+Packets are numbered 0..N-1 in arrival order (idx). A segment closes with its packet_cutoff-th packet, at the
 first periodic check at which it is as old as the timeout, or with the input. A segment opened by packet j
 would close at check flush(j), which joins in by time; so a flow's segments follow from its own packets alone.
 """
@@ -25,6 +25,7 @@ CUTOFF = 20
 TIMEOUT_NS = 60_000_000_000
 INTERVAL = 256
 EMIT_BLOCK = 1 << 16
+EMIT_RANGE = 1 << 10
 #: Numbers of the arrival order in a block of a flow.
 BLOCK = 1 << 18
 #: An idx that no packet has.
@@ -212,8 +213,8 @@ def segments(packets: DataFrame, policy: str = "pretrain", cutoff: int = CUTOFF,
     emit = F.when(full, F.col("last_idx")).when(F.col("flush").isNotNull(), F.col("flush") - 1).otherwise(F.col("__last"))
     phase = F.when(full, 0).when(F.col("flush").isNotNull(), 1).otherwise(2)
     s = written(s.withColumn("reason", reason).withColumn("emit_idx", emit).withColumn("__phase", phase), "segments")
-    block = F.floor(F.col("emit_idx") / EMIT_BLOCK).cast("bigint")
-    s = row_numbers(s, ["emit_idx", "__phase", "seg_start"], block, "emit_seq")
+    few = F.floor(F.col("emit_idx") / EMIT_RANGE).cast("bigint")  # a check may close very many at once
+    s = row_numbers(s, ["emit_idx", "__phase", "seg_start"], few, "emit_seq")
     s = row_numbers(s, ["seg_start"], F.floor(F.col("seg_start") / EMIT_BLOCK).cast("bigint"), "segment_id", own)
     s = s.where(F.col("emit_seq") < max_flows) if max_flows else s
     return s.select(*[F.col(f"k_{n}").alias(n) for n in CANONICAL], F.col("seg_start").alias("start_idx"), "n", "first_ts", "last_ts", "last_idx", "reason", "emit_idx", "emit_seq", "segment_id", "any_label", "packets")

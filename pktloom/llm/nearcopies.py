@@ -1,9 +1,11 @@
-"""Near copies by the similarity of their word shingles, every one of them verified.
+"""Near copies by SimHash and by the similarity of their word shingles, every one of them verified.
 
-Texts are sets of 5-word shingles, and two are linked if the sets' Jaccard similarity is 0.8 or more. Minima of the shingles
-under 200 hash functions make 40 keys of 5; a pair of similarity 0.8 has no key in common with a chance of about 1e-7, and
-more similar pairs with less. What meets under a key is compared shingle by shingle. SimHash would have to link fingerprints that differ in
-16 bits and more for this similarity, which no index of their parts finds.
+Texts are sets of 5-word shingles, and two are linked if the sets' Jaccard similarity is 0.8 or more. Each set has a SimHash
+fingerprint, and those within 3 bits are found by simhash.links: an index of byte positions, a count of the positional bytes that
+a pair shares, and a check of the bits. What it connects is a list of candidates. For the rest, which differ in 16 bits and more and which no
+index of a fingerprint's parts finds, minima of the shingles under 200 hash functions make 40 keys of 5; a pair of similarity 0.8 has no
+key in common with a chance of about 1e-7, and more similar pairs with less. All that meet in a list, of either kind, are compared
+shingle by shingle.
 
 Skew: equal sets are one node before keys are dealt, keys under which the same nodes meet are one list, and a list is dealt
 in blocks whose pairs are separate groups, each of which returns a spanning forest and never all pairs.
@@ -19,6 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import simhash
 from .common import slices, sorted_groups, text_batches, utf8, written
 from .components import components
 
@@ -64,15 +67,16 @@ def keys(found: np.ndarray) -> list[int]:
 def _signatures(rows: DataFrame, text_col: str) -> DataFrame:
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            digests, of = [], []
+            digests, of, fps = [], [], []
             for text in b.column(1).to_pylist():
                 found = shingles(text)
                 digests.append(xxhash.xxh3_128_digest(found.tobytes()))
                 of.append(keys(found) if len(found) else [])
+                fps.append(simhash.of_hashes([found[at : at + CHUNK] for at in range(0, len(found), CHUNK)]))
             h = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), pa.array(of, pa.list_(pa.int64()))], names=["row", "h1", "h2", "keys"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(of, pa.list_(pa.int64()))], names=["row", "h1", "h2", "fp", "keys"])
 
-    return rows.select(F.col("__row").alias("row"), F.col(text_col).alias("text")).mapInArrow(scan, "row bigint, h1 bigint, h2 bigint, keys array<bigint>")
+    return rows.select(F.col("__row").alias("row"), F.col(text_col).alias("text")).mapInArrow(scan, "row bigint, h1 bigint, h2 bigint, fp bigint, keys array<bigint>")
 
 
 def _sets(rows: DataFrame, text_col: str) -> DataFrame:
@@ -120,13 +124,24 @@ def forest(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> list[
     return out
 
 
+def lists(nodes: DataFrame) -> DataFrame:
+    """(node, k, v): the lists of each node (node, fp, keys), which are those of its keys and, k = -1, of what the SimHash index connects.
+
+    Nodes without words have no keys and no list.
+    """
+    worded = nodes.where(F.size("keys") > 0)
+    member = components(simhash.links(worded.select("fp").distinct())).select(F.col("node").alias("fp"), "root")
+    near = worded.join(member, "fp", "left").select("node", F.lit(-1).alias("k"), F.coalesce("root", "fp").alias("v"))
+    return near.unionByName(worded.select("node", F.posexplode("keys").alias("k", "v")))
+
+
 def links(nodes: DataFrame, rows: DataFrame, text_col: str = "text", block: int = BLOCK) -> DataFrame:
-    """(a, b): links that connect all nodes (node, keys) whose texts, those of rows by __row, are similar."""
+    """(a, b): links that connect all nodes (node, fp, keys) whose texts, those of rows by __row, are similar."""
     spark = nodes.sparkSession
-    postings = nodes.select("node", F.posexplode("keys").alias("k", "v"))
-    lists = postings.groupBy("k", "v").agg(F.count("*").alias("n"), F.min("node").alias("least"), F.max("node").alias("most"), F.bit_xor(F.xxhash64("node")).alias("x"), F.sum(F.xxhash64("node", F.lit(7)).cast("decimal(38,0)")).alias("s")).where("n > 1")
-    lists = lists.groupBy("n", "least", "most", "x", "s").agg(F.min(F.struct("k", "v")).alias("key")).select("key.k", "key.v", "n")
-    members = written(postings.join(lists, ["k", "v"]), "members")
+    postings = lists(nodes)
+    met = postings.groupBy("k", "v").agg(F.count("*").alias("n"), F.min("node").alias("least"), F.max("node").alias("most"), F.bit_xor(F.xxhash64("node")).alias("x"), F.sum(F.xxhash64("node", F.lit(7)).cast("decimal(38,0)")).alias("s")).where("n > 1")
+    met = met.groupBy("n", "least", "most", "x", "s").agg(F.min(F.struct("k", "v")).alias("key")).select("key.k", "key.v", "n")
+    members = written(postings.join(met, ["k", "v"]), "members")
     sets = written(_sets(rows.join(members.select(F.col("node").alias("__row")).distinct().hint("merge"), "__row", "left_semi"), text_col), "sets")
     dealt = (
         members.withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
@@ -159,8 +174,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     text_batches(docs.sparkSession)
     numbered = written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
     signed = written(_signatures(numbered, text_col), "signatures")
-    nodes = written(signed.groupBy("h1", "h2").agg(F.min("row").alias("node"), F.first("keys").alias("keys")), "nodes")
-    member = components(links(nodes.select("node", "keys"), numbered, text_col))
+    nodes = written(signed.groupBy("h1", "h2").agg(F.min("row").alias("node"), F.first("fp").alias("fp"), F.first("keys").alias("keys")), "nodes")
+    member = components(links(nodes.select("node", "fp", "keys"), numbered, text_col))
     of = nodes.select("h1", "h2", "node").join(member, "node", "left").select("h1", "h2", F.coalesce("root", "node").alias("component"))
     of = written(of, "classes")  # a plain table, so that the join can split a set that many rows have
     found = signed.select("row", "h1", "h2").join(of, ["h1", "h2"]).select(F.col("row").alias("__row"), "component")

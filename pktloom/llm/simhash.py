@@ -14,7 +14,7 @@ quadratic where very many different texts agree in the same four bytes; hashes o
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -53,12 +53,17 @@ def fingerprint(text: str | None) -> int:
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))[:n].tolist()
     ends = ends[min(SHINGLE, len(words)) - 1 :].tolist()
-    counts = np.zeros(64, np.int64)
     digest = xxhash.xxh64_intdigest
-    for at in range(0, n, CHUNK):
-        part = [digest(joined[s:e], SEED) for s, e in zip(starts[at : at + CHUNK], ends[at : at + CHUNK])]
+    return of_hashes([digest(joined[s:e], SEED) for s, e in zip(starts[at : at + CHUNK], ends[at : at + CHUNK])] for at in range(0, n, CHUNK))
+
+
+def of_hashes(parts: Iterable[Sequence[int]]) -> int:
+    """The fingerprint of hashes: a bit is 1 if over half of them have it."""
+    counts, n = np.zeros(64, np.int64), 0
+    for part in parts:
         bits = np.unpackbits(np.array(part, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         counts += bits.sum(axis=0, dtype=np.int64)
+        n += len(part)
     return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 
 
